@@ -87,12 +87,17 @@ def test(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oil(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekdays only, and present without a price on the first of a month."""
+    """Weekdays only, and present without a price on the first of a month.
+
+    The mean order total in thousands, from an exact sum of cents, so that every engine and every
+    partitioning gives the same double.
+    """
+    cents = F.sum(F.round(F.col("o_totalprice") * 100).cast("long"))
     daily = (
         _orders(spark, sf_dir, None)
         .filter(F.dayofweek("date").between(2, 6))
         .groupBy("date")
-        .agg((F.avg("o_totalprice") / 1000).alias("price"))
+        .agg((cents.cast("double") / (F.count(F.lit(1)) * 100_000).cast("double")).alias("price"))
     )
     return daily.select("date", F.when(F.dayofmonth("date") != 1, F.col("price")).alias("dcoilwtico"))
 
