@@ -64,7 +64,7 @@ def _moving(where: str) -> str:
 
 def _filled(oil: str) -> str:
     return f"""SELECT id, type, CAST(store_nbr AS DOUBLE) AS store_nbr, CAST(onpromotion AS DOUBLE) AS onpromotion,
-        round(coalesce(dcoilwtico, {oil}), 6) AS dcoilwtico, CAST(is_holiday AS DOUBLE) AS is_holiday FROM enriched"""
+        coalesce(dcoilwtico, round({oil}, 6)) AS dcoilwtico, CAST(is_holiday AS DOUBLE) AS is_holiday FROM enriched"""
 
 
 LEVELS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]

@@ -177,10 +177,14 @@ def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _imputed(strategy: str) -> Query:
+    def fill_rounded(name: str) -> Column:
+        filled = F.col(f"filled_{name}")
+        return F.when(F.col(name).isNull(), F.round(filled, 6)).otherwise(filled).alias(name)
+
     def query(spark, sf_dir):
         rows = _stored(spark, sf_dir)
         filled = numeric_imputer(strategy).fit(rows).transform(rows)
-        return filled.select("id", "type", *[F.round(f"filled_{c}", 6).alias(c) for c in NUMERIC])
+        return filled.select("id", "type", *[fill_rounded(c) for c in NUMERIC])
 
     return query
 
