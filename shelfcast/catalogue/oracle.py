@@ -121,20 +121,98 @@ def _least_squares(train: str, score: str) -> str:
                FROM ({score}) s JOIN centre c ON s.g = c.g AND s.family = c.family JOIN b1 ON b1.g = s.g)"""
 
 
+# Training and scoring rows of a model: the whole year and the test table (g = 0), or per fold g all
+# other folds and that fold.
+YEAR_ROWS = """
+    SELECT 0 AS g, family, greatest(sales, 0) AS y, store_nbr::DOUBLE AS x1, onpromotion::DOUBLE AS x2,
+           coalesce(dcoilwtico, avg(dcoilwtico) OVER ()) AS x3, is_holiday::DOUBLE AS x4 FROM enriched"""
+TEST_ROWS = """
+    SELECT 0 AS g, id, family, store_nbr::DOUBLE AS x1, onpromotion::DOUBLE AS x2,
+           coalesce(dcoilwtico, (SELECT avg(dcoilwtico) FROM enriched)) AS x3, is_holiday::DOUBLE AS x4
+    FROM enriched_test"""
+OTHER_FOLDS = """
+    SELECT k.g, family, greatest(sales, 0) AS y, store_nbr::DOUBLE AS x1, onpromotion::DOUBLE AS x2,
+           coalesce(dcoilwtico, avg(dcoilwtico) OVER (PARTITION BY k.g)) AS x3, is_holiday::DOUBLE AS x4
+    FROM folded, (SELECT unnest(range(5)) AS g) k WHERE fold <> k.g"""
+HELD_OUT_FOLD = """
+    SELECT fold AS g, family, greatest(sales, 0) AS y, store_nbr::DOUBLE AS x1, onpromotion::DOUBLE AS x2,
+           coalesce(dcoilwtico, oil_mean) AS x3, is_holiday::DOUBLE AS x4
+    FROM folded JOIN (SELECT k.g, avg(dcoilwtico) AS oil_mean FROM folded, (SELECT unnest(range(5)) AS g) k
+                      WHERE fold <> k.g GROUP BY k.g) m ON fold = m.g"""
+
+SPLIT_VALUE = f"""CASE feat WHEN 0 THEN x1 WHEN 1 THEN x2 WHEN 2 THEN x3 WHEN 3 THEN x4
+    ELSE (family = {LEVELS}[feat - 3])::DOUBLE END"""
+
+
+def _grow(rows: str, name: str) -> str:
+    """CTEs ``<name>_best``: the split of each (g, node) of ``rows`` with the least squared error."""
+    return f"""
+    {name}_sums AS (SELECT g, node, feat, {SPLIT_VALUE} AS v, count(*) AS n, sum(y) AS s
+                    FROM {rows}, (SELECT unnest(range({4 + len(LEVELS)})) AS feat) f GROUP BY ALL),
+    {name}_cuts AS (SELECT g, node, feat, (v + lead(v) OVER by_value) / 2 AS cut,
+                           sum(n) OVER by_value AS nl, sum(s) OVER by_value AS sl,
+                           sum(n) OVER whole AS n, sum(s) OVER whole AS s
+                    FROM {name}_sums
+                    WINDOW by_value AS (PARTITION BY g, node, feat ORDER BY v), whole AS (PARTITION BY g, node, feat)),
+    {name}_best AS (SELECT g, node, feat, cut FROM {name}_cuts WHERE cut IS NOT NULL
+                    QUALIFY row_number() OVER (PARTITION BY g, node
+                        ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, feat, cut) = 1)"""
+
+
+def _descend(rows: str, name: str) -> str:
+    """``rows`` with ``node`` moved to the child that the split in ``<name>_best`` sends them to."""
+    return f"""SELECT r.* REPLACE (r.node * 2 + CASE WHEN {SPLIT_VALUE} > cut THEN 1 ELSE 0 END AS node)
+               FROM {rows} r LEFT JOIN {name}_best b ON r.g = b.g AND r.node = b.node"""
+
+
+def _tree(depth: int, train: str, score: str) -> str:
+    """CTEs of a regression tree over all features: ``tree<depth>`` are the ``score`` rows with prediction ``p``."""
+    name = f"t{depth}"
+    ctes = [
+        f"{name}_fit0 AS (SELECT *, 1 AS node FROM ({train}) t)",
+        f"{name}_score0 AS (SELECT *, 1 AS node FROM ({score}) t)",
+    ]
+    for level in range(depth):
+        split = f"{name}_{level}"
+        ctes.append(_grow(f"{name}_fit{level}", split))
+        ctes.append(f"{name}_fit{level + 1} AS ({_descend(f'{name}_fit{level}', split)})")
+        ctes.append(f"{name}_score{level + 1} AS ({_descend(f'{name}_score{level}', split)})")
+    ctes.append(
+        f"""tree{depth} AS (SELECT s.*, p FROM {name}_score{depth} s JOIN
+            (SELECT g, node, avg(y) AS p FROM {name}_fit{depth} GROUP BY g, node) l ON s.g = l.g AND s.node = l.node)"""
+    )
+    return ",\n".join(ctes)
+
+
+def _mean_r2(rows: str) -> str:
+    return f"""SELECT round(avg(r2), 6) FROM (
+        SELECT g, 1 - sum((y - p) * (y - p)) / (count(*) * var_pop(y)) AS r2 FROM {rows} GROUP BY g) f"""
+
+
+def _tree_params(depth: int) -> str:
+    return (
+        f'{{"criterion": "friedman_mse", "max_depth": {depth}, "max_features": null, "min_impurity_decrease": 0.0, '
+        '"min_samples_leaf": 1, "min_samples_split": 2, "min_weight_fraction_leaf": 0.0, "splitter": "best"}'
+    )
+
+
+# Two stumps, the second on what the first leaves over, added at a tenth.
+BOOSTED = f"""
+    b_fit AS (SELECT *, 1 AS node FROM ({YEAR_ROWS}) t), b_score AS (SELECT *, 1 AS node FROM ({TEST_ROWS}) t),
+    {_grow("b_fit", "first")},
+    f1 AS ({_descend("b_fit", "first")}), s1 AS ({_descend("b_score", "first")}),
+    l1 AS (SELECT node, avg(y) AS p1 FROM f1 GROUP BY node),
+    r1 AS (SELECT f1.* REPLACE (y - p1 AS y, 1 AS node) FROM f1 JOIN l1 ON f1.node = l1.node),
+    q1 AS (SELECT s1.* REPLACE (1 AS node), p1 FROM s1 JOIN l1 ON s1.node = l1.node),
+    {_grow("r1", "second")},
+    f2 AS ({_descend("r1", "second")}), s2 AS ({_descend("q1", "second")}),
+    l2 AS (SELECT node, avg(y) AS p2 FROM f2 GROUP BY node)"""
+
+
 def _linear_scores(projection: str) -> str:
     """Mean R2 of the linear model over the five folds, as ``score`` in ``projection``."""
-    least_squares = _least_squares(
-        """SELECT k.g, family, greatest(sales, 0) AS y, store_nbr::DOUBLE AS x1, onpromotion::DOUBLE AS x2,
-                  coalesce(dcoilwtico, avg(dcoilwtico) OVER (PARTITION BY k.g)) AS x3, is_holiday::DOUBLE AS x4
-           FROM folded, (SELECT unnest(range(5)) AS g) k WHERE fold <> k.g""",
-        """SELECT fold AS g, family, greatest(sales, 0) AS y, store_nbr AS x1, onpromotion AS x2,
-                  coalesce(dcoilwtico, oil_mean) AS x3, is_holiday AS x4
-           FROM folded JOIN (SELECT k.g, avg(dcoilwtico) AS oil_mean FROM folded, (SELECT unnest(range(5)) AS g) k
-                             WHERE fold <> k.g GROUP BY k.g) m ON fold = m.g""",
-    )
-    return f"""{WITH_INPUTS}, {least_squares},
-    score AS (SELECT round(avg(r2), 6) AS score FROM (
-        SELECT g, 1 - sum((y - p) * (y - p)) / (count(*) * var_pop(y)) AS r2 FROM fitted GROUP BY g) f)
+    return f"""{WITH_INPUTS}, {_least_squares(OTHER_FOLDS, HELD_OUT_FOLD)},
+    score(score) AS ({_mean_r2("fitted")})
     {projection}"""
 
 
@@ -218,16 +296,17 @@ ORACLE: dict[str, str] = {
            JOIN (SELECT family, avg(greatest(sales, 0)) AS p FROM year_train GROUP BY family) m
              ON t.family = m.family"""
     ),
-    "predict_linear": WITH_INPUTS
-    + ", "
-    + _least_squares(
-        """SELECT 0 AS g, family, greatest(sales, 0) AS y, store_nbr::DOUBLE AS x1, onpromotion::DOUBLE AS x2,
-                  coalesce(dcoilwtico, avg(dcoilwtico) OVER ()) AS x3, is_holiday::DOUBLE AS x4 FROM enriched""",
-        """SELECT 0 AS g, id, family, store_nbr AS x1, onpromotion AS x2,
-                  coalesce(dcoilwtico, (SELECT avg(dcoilwtico) FROM enriched)) AS x3, is_holiday AS x4
-           FROM enriched_test""",
-    )
-    + "\nSELECT id, round(p, 2) AS sales FROM fitted",
+    "predict_linear": _q(f", {_least_squares(YEAR_ROWS, TEST_ROWS)} SELECT id, round(p, 2) AS sales FROM fitted"),
+    "predict_tree": _q(f", {_tree(2, YEAR_ROWS, TEST_ROWS)} SELECT id, round(p, 2) AS sales FROM tree2"),
+    "predict_boosted_stumps": _q(
+        f", {BOOSTED} SELECT id, round(p1 + 0.1 * p2, 2) AS sales FROM s2 JOIN l2 ON s2.node = l2.node"
+    ),
+    "grid_scores_full_tree": _q(
+        f""", {_tree(1, OTHER_FOLDS, HELD_OUT_FOLD)}, {_tree(2, OTHER_FOLDS, HELD_OUT_FOLD)},
+        scores AS (SELECT 0 AS grid_point, '{_tree_params(1)}' AS params, ({_mean_r2("tree1")}) AS mean_r2 UNION ALL
+                   SELECT 1 AS grid_point, '{_tree_params(2)}' AS params, ({_mean_r2("tree2")}) AS mean_r2)
+        SELECT *, grid_point = (SELECT arg_max(grid_point, mean_r2) FROM scores) AS best FROM scores"""
+    ),
     # Without an intercept the family slots span the same space, so both points score alike.
     "grid_scores_linear": _linear_scores(
         """SELECT 0 AS grid_point, '{"fit_intercept": true}' AS params, score AS mean_r2 FROM score UNION ALL

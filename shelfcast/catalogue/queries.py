@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from shelfcast.functions.columns import clip_at_zero, parse_date
 from shelfcast.functions.dates import two_year_span, year_span
 from shelfcast.ml.models import fit_model
+from shelfcast.ml.params import grid_points
 from shelfcast.ml.preprocess import (
     categorical_imputer,
     min_max,
@@ -237,9 +238,12 @@ def r2_group_mean(spark, sf_dir):
     return r2(held_out.join(means, "family"), "sales", "mean_sales").select(_rounded("r2", 6))
 
 
-def _predicted(model: str, digits: int | None = None, **params) -> Query:
+def _predicted(model: str, digits: int | None = None, **values) -> Query:
+    """Fit on the year, predict the test table. ``values`` replace defaults of the grid point."""
+    point = grid_points(model, {name: [value] for name, value in values.items()})[0]
+
     def query(spark, sf_dir):
-        fitted = fit_model(_training(spark, sf_dir), model, params or None)
+        fitted = fit_model(_training(spark, sf_dir), model, point)
         output = forecast(fitted, stand_ins.test(spark, sf_dir), *_dimensions(spark, sf_dir))
         return output if digits is None else output.withColumn("sales", F.round("sales", digits))
 
@@ -260,6 +264,12 @@ def grid_scores_tree(spark, sf_dir):
     return score_report(spark, result)
 
 
+def grid_scores_full_tree(spark, sf_dir):
+    """Trees that see every feature at every split, so that nothing is random."""
+    result = _searched(spark, sf_dir, "decision", {"max_depth": [1, 2], "max_features": [None]})
+    return score_report(spark, result).withColumn("mean_r2", F.round("mean_r2", 6))
+
+
 def best_linear(spark, sf_dir):
     return best_result(spark, _searched(spark, sf_dir, "linear")).select("params", _rounded("mean_r2", 6))
 
@@ -367,11 +377,14 @@ QUERIES: dict[str, Query] = {
     "assign_folds": folds,
     "r2_group_mean": r2_group_mean,
     "predict_linear": _predicted("linear", digits=2),
+    "predict_tree": _predicted("decision", digits=2, max_depth=2, max_features=None),
+    "predict_boosted_stumps": _predicted("gradient", digits=2, max_depth=1, max_features=None, n_estimators=2),
     "predict_decision": _predicted("decision"),
     "predict_forest": _predicted("randomforest"),
     "predict_gbt": _predicted("gradient"),
     "grid_scores_linear": grid_scores_linear,
     "grid_scores_tree": grid_scores_tree,
+    "grid_scores_full_tree": grid_scores_full_tree,
     "best_linear": best_linear,
     "csv_roundtrip": csv_roundtrip,
     "scatter_transactions": scatter_transactions,

@@ -81,11 +81,18 @@ def random_forest(params: Mapping, width: int, seed: int) -> RandomForestRegress
 
 
 def gradient_boosting(params: Mapping, width: int, seed: int) -> GBTRegressor:
+    """Boosted trees.
+
+    For squared error Spark ML fits each tree to twice the residual, so half the learning rate
+    gives the usual shrinkage. The first tree is not shrunk, where others start from the mean.
+    For absolute error Spark ML moves by the sign of the residual and does not refit the leaves.
+    """
+    loss, rate = params["loss"], float(params["learning_rate"])
     return GBTRegressor(
         **_tree_settings(params, width),
         maxIter=params["n_estimators"],
-        stepSize=float(params["learning_rate"]),
-        lossType={"squared_error": "squared", "absolute_error": "absolute"}[params["loss"]],
+        stepSize=rate / 2 if loss == "squared_error" else rate,
+        lossType={"squared_error": "squared", "absolute_error": "absolute"}[loss],
         seed=seed,
     )
 

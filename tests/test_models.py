@@ -71,6 +71,16 @@ def test_ensembles_learn_and_repeat_with_a_seed(rows, model, grid):
     assert ((labels - np.array(first)) ** 2).sum() < 0.5 * ((labels - labels.mean()) ** 2).sum()
 
 
+def test_boosting_shrinks_residuals_by_the_learning_rate(spark):
+    """Second tree on residuals -3 and 3 behind a first one that predicts 2 and 104."""
+    df = spark.createDataFrame(
+        [(0, 0, 0.0), (0, 1, 4.0), (1, 0, 100.0), (1, 1, 108.0)], "store_nbr int, onpromotion int, label double"
+    ).selectExpr("*", "'A' AS family", "1D AS dcoilwtico", "0 AS is_holiday").coalesce(1)
+    params = grid_points("gradient", {"n_estimators": [2], "max_depth": [1], "max_features": [None], "learning_rate": [0.5]})[0]
+    out = predict(fit_model(df, "gradient", params), df)
+    assert column(out, "prediction", "store_nbr", "onpromotion") == pytest.approx([0.5, 3.5, 102.5, 105.5])
+
+
 def test_search_picks_the_best_mean_score(spark, rows):
     result = grid_search(rows, "decision", {"max_depth": [1, 4], "max_features": [None]})
     assert [p["max_depth"] for p in result.points] == [1, 4]

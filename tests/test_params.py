@@ -58,3 +58,4 @@ def test_mapping_to_spark(spark):
     boosted = build_model("gradient", grid_points("gradient", {"loss": ["absolute_error"], "max_features": [None]})[0], 37)
     assert (boosted.getMaxIter(), boosted.getStepSize(), boosted.getLossType()) == (100, 0.1, "absolute")
     assert boosted.getFeatureSubsetStrategy() == "all"
+    assert build_model("gradient", grid_points("gradient")[0], 37).getStepSize() == 0.05
