@@ -119,18 +119,14 @@ def with_label(df: DataFrame) -> DataFrame:
     return df.withColumn("label", clip_at_zero())
 
 
-def fit_rows(
-    rows: DataFrame, model: str, params: Mapping, num_strategy: str, cat_strategy: str, seed: int
-) -> PipelineModel:
-    """Preprocessor and one model fitted on stored feature rows.
+def fit_prepared(rows: DataFrame, prepared: PipelineModel, model: str, params: Mapping, seed: int) -> PipelineModel:
+    """One model fitted on stored feature rows behind a fitted preprocessor; returns both.
 
     Vectors are assembled anew in each pass instead of being cached: the stored columns are several
     times smaller, and the tree learners keep their own binned copy.
     """
-    prepared = preprocessor(num_strategy, cat_strategy).fit(rows)
     vectors = prepared.transform(rows).select("features", "label")
-    fitted = build_model(model, params, vector_width(vectors), seed).fit(vectors)
-    return PipelineModel(stages=[prepared, fitted])
+    return PipelineModel(stages=[prepared, build_model(model, params, vector_width(vectors), seed).fit(vectors)])
 
 
 def fit_model(
@@ -148,7 +144,7 @@ def fit_model(
     """
     params = params or grid_points(model)[0]
     rows = materialize(feature_frame(df, "label"), "training")
-    return fit_rows(rows, model, params, num_strategy, cat_strategy, seed)
+    return fit_prepared(rows, preprocessor(num_strategy, cat_strategy).fit(rows), model, params, seed)
 
 
 def predict(fitted: PipelineModel, df: DataFrame) -> DataFrame:

@@ -6,9 +6,11 @@ estimators; each fit is one aggregate and each transform is a projection of buil
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -29,23 +31,32 @@ class _InOut(HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWr
         self._set(**self._input_kwargs)
 
 
-def _modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
-    """Most frequent value per column, the smallest one on ties.
+def _modes(df: DataFrame, columns: list[str], held_out: Sequence[int] = ()) -> list[dict[str, object]]:
+    """Most frequent value per column, the smallest one on ties: over all rows, or, given fold
+    numbers, once without each of these folds and last over all rows.
 
     Counts are built per (column, value) with partial aggregation, so no task holds a whole column.
     """
+    groups = [*held_out, None]
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns]))
     counts = (
-        df.select(pairs.alias("pair"))
-        .select("pair.*")
+        df.select(*(["fold"] if held_out else []), pairs.alias("pair"))
+        .select("*", "pair.*")
         .filter(F.col("value").isNotNull())
         .groupBy("name", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    best = counts.groupBy("name").agg(
-        F.min_by("value", F.struct(-F.col("rows"), F.col("value"))).alias("value")
+        .agg(*[_rows_without(fold).alias(f"rows_{fold}") for fold in groups])
     )
-    return {row["name"]: row["value"] for row in best.collect()}
+
+    def most(fold: int | None):
+        rows = F.col(f"rows_{fold}")
+        return F.min_by("value", F.when(rows > 0, F.struct(-rows, F.col("value")))).alias(f"mode_{fold}")
+
+    best = counts.groupBy("name").agg(*[most(fold) for fold in groups]).collect()
+    return [{row["name"]: row[f"mode_{fold}"] for row in best} for fold in groups]
+
+
+def _rows_without(fold: int | None):
+    return F.count(F.lit(1)) if fold is None else F.count_if(F.col("fold") != fold)
 
 
 class FillMissing(Estimator, _InOut):
@@ -71,7 +82,7 @@ class FillMissing(Estimator, _InOut):
         if strategy == "mean":
             found = present.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
         elif strategy == "most_frequent":
-            found = _modes(present, columns)
+            found = _modes(present, columns)[-1]
         fills = [default if found.get(c) is None else found[c] for c in columns]
         return self._copyValues(FillMissingModel(fills=fills))
 
@@ -150,15 +161,87 @@ def one_hot_levels(model) -> list[list[str]]:
     return [list(levels) for levels in model.stages[0].labelsArray]
 
 
+FILLED_NUMERIC = [f"filled_{c}" for c in NUMERIC]
+FILLED_CATEGORICAL = [f"filled_{c}" for c in CATEGORICAL]
+SCALED = [f"scaled_{c}" for c in NUMERIC]
+
+
+def _assembler() -> VectorAssembler:
+    return VectorAssembler(inputCols=[*SCALED, *[f"onehot_{c}" for c in FILLED_CATEGORICAL]], outputCol="features")
+
+
 def preprocessor(num_strategy: str = "mean", cat_strategy: str = "most_frequent") -> Pipeline:
     """Column ``features``: the four scaled numerics, then one slot per family."""
-    filled_numbers = [f"filled_{c}" for c in NUMERIC]
-    filled_texts = [f"filled_{c}" for c in CATEGORICAL]
-    scaled = [f"scaled_{c}" for c in NUMERIC]
     return Pipeline(stages=[
         numeric_imputer(num_strategy),
-        min_max(filled_numbers, scaled),
+        min_max(FILLED_NUMERIC, SCALED),
         categorical_imputer(cat_strategy),
-        one_hot(filled_texts),
-        VectorAssembler(inputCols=[*scaled, *[f"onehot_{c}" for c in filled_texts]], outputCol="features"),
+        one_hot(FILLED_CATEGORICAL),
+        _assembler(),
+    ])
+
+
+def fit_per_fold(
+    rows: DataFrame, folds: int, num_strategy: str = "mean", cat_strategy: str = "most_frequent"
+) -> list[PipelineModel]:
+    """``preprocessor`` fitted once without each fold, and last on all ``rows`` (which have ``fold``).
+
+    What the stages learn can be put together from per-fold sums, extremes and counts, so all fits
+    share one pass over the numbers (two with ``most_frequent``) and one over the families, instead
+    of four passes each.
+    """
+    numeric_imputer(num_strategy), categorical_imputer(cat_strategy)  # checks the strategies
+    numbers = rows.select("fold", *[_present(rows, c).alias(c) for c in NUMERIC])
+    per_fold = numbers.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[
+            F.struct(F.count(c).alias("n"), F.sum(c).alias("sum"), F.min(c).alias("low"), F.max(c).alias("high")).alias(c)
+            for c in NUMERIC
+        ],
+    ).collect()
+    modes = _modes(numbers, NUMERIC, range(folds)) if num_strategy == "most_frequent" else None
+    groups = [*range(folds), None]
+    families = rows.groupBy(CATEGORICAL).agg(*[_rows_without(fold).alias(f"rows_{fold}") for fold in groups]).collect()
+
+    fitted = []
+    for number, fold in enumerate(groups):
+        kept = [row for row in per_fold if row["fold"] != fold]
+        fills, lows, highs = [], [], []
+        for c in NUMERIC:
+            stats = [row[c] for row in kept if row[c]["n"]]
+            present = sum(part["n"] for part in stats)
+            fill = NUMERIC_CONSTANT
+            if stats and num_strategy == "mean":
+                fill = sum(part["sum"] for part in stats) / present
+            elif stats and num_strategy == "most_frequent":
+                fill = modes[number][c]
+            filled = [fill] if present < sum(row["rows"] for row in kept) else []
+            fills.append(fill)
+            lows.append(min([*(part["low"] for part in stats), *filled]))
+            highs.append(max([*(part["high"] for part in stats), *filled]))
+        counted = {row[CATEGORICAL[0]]: row[f"rows_{fold}"] for row in families if row[f"rows_{fold}"]}
+        missing = counted.pop(None, 0)
+        family_fill = TEXT_CONSTANT
+        if counted and cat_strategy == "most_frequent":
+            family_fill = min(counted, key=lambda level: (-counted[level], level))
+        levels = sorted({*counted, *([family_fill] if missing else [])})
+        fitted.append(_assemble_fitted(rows, fills, lows, highs, family_fill, levels))
+    return fitted
+
+
+def _assemble_fitted(rows: DataFrame, fills, lows, highs, family_fill: str, levels: list[str]) -> PipelineModel:
+    codes, vectors = [f"code_{c}" for c in FILLED_CATEGORICAL], [f"onehot_{c}" for c in FILLED_CATEGORICAL]
+    text = FillMissingModel(inputCols=CATEGORICAL, outputCols=FILLED_CATEGORICAL, fills=[family_fill])
+    indexer = StringIndexerModel.from_arrays_of_labels(
+        [levels], inputCols=FILLED_CATEGORICAL, outputCols=codes, handleInvalid="error"
+    )
+    # The encoder reads the number of levels from column metadata; this runs no job.
+    encoder = OneHotEncoder(inputCols=codes, outputCols=vectors, dropLast=False)
+    encoder = encoder.fit(indexer.transform(text.transform(rows)))
+    return PipelineModel(stages=[
+        FillMissingModel(inputCols=NUMERIC, outputCols=FILLED_NUMERIC, fills=fills),
+        ScaleToUnitModel(inputCols=FILLED_NUMERIC, outputCols=SCALED, lows=lows, highs=highs),
+        text,
+        PipelineModel(stages=[indexer, encoder]),
+        _assembler(),
     ])

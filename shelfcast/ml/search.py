@@ -11,9 +11,9 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.ml.models import build_model, fit_rows, predict, vector_width
+from shelfcast.ml.models import fit_prepared, predict
 from shelfcast.ml.params import grid_points
-from shelfcast.ml.preprocess import preprocessor
+from shelfcast.ml.preprocess import fit_per_fold
 from shelfcast.operators.aggregates import r2_score
 from shelfcast.operators.ordering import assign_folds
 
@@ -35,26 +35,13 @@ class SearchResult:
 
 
 def _score_fold(
-    train: DataFrame,
-    valid: DataFrame,
-    model: str,
-    points: list[dict],
-    num_strategy: str,
-    cat_strategy: str,
-    seed: int,
+    train: DataFrame, valid: DataFrame, prepared: PipelineModel, model: str, points: list[dict], seed: int
 ) -> list[float]:
-    """R2 on ``valid`` of every grid point fitted on ``train``.
-
-    The preprocessor is fitted on the training rows only, once for all grid points, and one pass
-    over the held-out rows scores all fitted models.
-    """
-    prepared = preprocessor(num_strategy, cat_strategy).fit(train)
-    vectors = prepared.transform(train).select("features", "label")
+    """R2 on ``valid`` of every grid point fitted on ``train``, all scored in one pass."""
     scored = prepared.transform(valid).select("features", "label")
-    width = vector_width(vectors)
     names = [f"prediction_{number}" for number in range(len(points))]
     for name, point in zip(names, points):
-        fitted = build_model(model, point, width, seed).fit(vectors)
+        fitted = fit_prepared(train, prepared, model, point, seed).stages[-1]
         scored = predict(fitted, scored).withColumnRenamed("prediction", name)
     return list(scored.agg(*[r2_score("label", name).alias(name) for name in names]).first())
 
@@ -73,22 +60,24 @@ def grid_search(
     """Fits every grid point on every fold, picks the best mean R2 and refits it on all rows.
 
     ``df`` has the feature columns, ``label`` and the ``order_by`` columns. Folds are contiguous in
-    that order. The first grid point wins a tie. A failing fit raises. ``parallelism`` is the number
-    of folds worked on at the same time, so that one fold's short steps do not idle the cluster.
+    that order, and the preprocessor never sees the held-out one. The first grid point wins a tie.
+    A failing fit raises. ``parallelism`` is the number of folds worked on at the same time, so that
+    one fold's short steps do not idle the cluster.
     """
     points = grid_points(model, grid)
     rows = assign_folds(df, order_by, folds)
+    *per_fold, on_all = fit_per_fold(rows, folds, num_strategy, cat_strategy)
 
     def score(fold: int) -> list[float]:
         train, valid = rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)
-        return _score_fold(train, valid, model, points, num_strategy, cat_strategy, seed)
+        return _score_fold(train, valid, per_fold[fold], model, points, seed)
 
     with ThreadPool(min(parallelism, folds)) as pool:
         by_fold = pool.map(inheritable_thread_target(df.sparkSession)(score), range(folds), chunksize=1)
     fold_scores = [list(scores) for scores in zip(*by_fold)]
     means = [sum(scores) / folds for scores in fold_scores]
     best = max(range(len(points)), key=means.__getitem__)
-    refit = fit_rows(rows, model, points[best], num_strategy, cat_strategy, seed)
+    refit = fit_prepared(rows, on_all, model, points[best], seed)
     return SearchResult(refit, points[best], means[best], points, fold_scores)
 
 

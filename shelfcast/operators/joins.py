@@ -18,11 +18,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from shelfcast.operators.copies import merge_copies, repeat_copies
 from shelfcast.operators.filters import with_holiday_flag, with_promo_flag
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 ROW_OVERHEAD = 24  # bytes per broadcast row besides its text
-REPEAT_BLOCK = 4096
 
 
 @dataclass(frozen=True)
@@ -45,25 +45,17 @@ def _measure(compact: DataFrame, columns: list[str]) -> DateTableSize:
     return DateTableSize(size["full"] or 0, size["distinct"] or 0)
 
 
-def _repeat(df: DataFrame) -> DataFrame:
-    """Each row ``copies`` times (once if NULL), in blocks so that no array grows with the count."""
-    copies = F.coalesce("copies", F.lit(1))
-    blocks = df.withColumn("block", F.explode(F.sequence(F.lit(0), copies - 1, F.lit(REPEAT_BLOCK))))
-    in_block = F.least(copies - F.col("block"), F.lit(REPEAT_BLOCK))
-    return blocks.withColumn("copy", F.explode(F.sequence(F.lit(1), in_block))).drop("copy", "block", "copies")
-
-
 def left_join_on_date(
     df: DataFrame, other: DataFrame, columns: list[str], broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """``df`` left-joined with ``columns`` of ``other`` on ``date``."""
     other = other.select("date", *columns)
-    compact = other.groupBy("date", *columns).agg(F.count(F.lit(1)).alias("copies")).persist()
+    compact = merge_copies(other).persist()
     size = _measure(compact, columns)
     if size.full <= broadcast_bytes:
-        return df.join(F.broadcast(_repeat(compact)), "date", "left")
+        return df.join(F.broadcast(repeat_copies(compact).drop("copy")), "date", "left")
     if size.distinct <= broadcast_bytes:
-        return _repeat(df.join(F.broadcast(compact), "date", "left"))
+        return repeat_copies(df.join(F.broadcast(compact), "date", "left")).drop("copy")
     compact.unpersist()
     return df.join(other.hint("merge"), "date", "left")
 

@@ -7,6 +7,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shelfcast.operators.copies import merge_copies, repeat_copies
 from shelfcast.session import materialize
 
 
@@ -46,18 +47,20 @@ def assign_folds(df: DataFrame, order_by: Sequence[str], folds: int = 5) -> Data
     """Adds ``fold`` (0 to folds-1): contiguous, unshuffled cuts of the rows sorted by ``order_by``.
 
     Spark rows have no file order, so the caller names one. Rows are range-partitioned and sorted
-    by it in parallel. The other columns and a random number follow as tie-breaks, so that neither
-    a date with a third of all rows nor a large group of equal rows has to fit one task. The sorted
-    rows are written to the shared folder once; only row counts per task reach the driver, and each
-    fold start becomes one (task, position) literal, so ``fold`` costs no join and no second sort.
+    by it in parallel. A hash of the other columns and the number of the copy among equal rows
+    break ties, so that neither a date with a third of all rows nor a large group of equal rows has
+    to fit one task, and a task that is run again sends every row to the same place.
+
+    The sorted rows are written to the shared folder once; only row counts per task reach the
+    driver, and each fold start becomes one (task, position) literal, so ``fold`` costs no join and
+    no second sort.
     """
-    rest = [F.col(c) for c in df.columns if c not in order_by]
-    ties = [F.xxhash64(*rest)] if rest else []
-    keyed = df.withColumn("tie", F.rand(0))
-    order = [*[F.col(c) for c in order_by], *ties, F.col("tie")]
+    rest = [c for c in df.columns if c not in order_by]
+    order = [*order_by, *([F.xxhash64(*rest)] if rest else []), "copy"]
     in_task = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
     ordered = (
-        keyed.repartitionByRange(*order)
+        repeat_copies(merge_copies(df))
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select(*df.columns, F.spark_partition_id().alias("task"), in_task.alias("position"))
     )

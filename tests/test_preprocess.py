@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import column
 from shelfcast.ml.preprocess import (
-    categorical_imputer, min_max, numeric_imputer, one_hot, one_hot_levels, preprocessor,
+    categorical_imputer, fit_per_fold, min_max, numeric_imputer, one_hot, one_hot_levels, preprocessor,
 )
 
 NAN = float("nan")
@@ -106,3 +106,29 @@ def _reloaded(model, tmp_path):
 def test_mode_counts_do_not_pull_a_column_into_one_task(spark):
     df = spark.range(100_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("double").alias("n"))
     assert numeric_imputer("most_frequent", ["n"]).fit(df).getOrDefault("fills") == [7.0]
+
+
+@pytest.mark.parametrize("num_strategy", ["mean", "most_frequent", "constant"])
+@pytest.mark.parametrize("cat_strategy", ["most_frequent", "constant"])
+def test_fits_per_fold_equal_separate_fits(spark, num_strategy, cat_strategy):
+    data = [
+        ("b", 1, 0, 10.0, 0, 0), (None, 3, 1, None, 0, 0), ("a", 5, 1, NAN, 0, 1), ("b", 2, 0, 70.0, 0, 1),
+        ("c", 9, 0, None, 1, 2), ("a", 9, 1, 20.0, 0, 2), ("a", 4, 1, 10.0, 0, 0), (None, 1, 1, 20.0, 0, 1),
+    ]
+    df = spark.createDataFrame(
+        data, "family string, store_nbr int, onpromotion int, dcoilwtico double, is_holiday int, fold int"
+    )
+    models = fit_per_fold(df, 3, num_strategy, cat_strategy)
+    for fold, model in zip([0, 1, 2, None], models, strict=True):
+        train = df if fold is None else df.filter(F.col("fold") != fold)
+        separate = preprocessor(num_strategy, cat_strategy).fit(train)
+        assert model.stages[0].getOrDefault("fills") == pytest.approx(separate.stages[0].getOrDefault("fills"))
+        for name in ("lows", "highs"):
+            assert model.stages[1].getOrDefault(name) == pytest.approx(separate.stages[1].getOrDefault(name))
+        assert model.stages[2].getOrDefault("fills") == separate.stages[2].getOrDefault("fills")
+        assert one_hot_levels(model.stages[3]) == one_hot_levels(separate.stages[3])
+        vectors = [
+            [tuple(v) for v in column(m.transform(train).select(vector_to_array("features").alias("v"), "store_nbr", "family"), "v", "store_nbr", "family")]
+            for m in (model, separate)
+        ]
+        assert vectors[0] == [pytest.approx(v) for v in vectors[1]]
