@@ -7,6 +7,7 @@ estimators; each fit is one aggregate and each transform is a projection of buil
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -203,7 +204,7 @@ def fit_per_fold(
     groups = [*range(folds), None]
     families = rows.groupBy(CATEGORICAL).agg(*[_rows_without(fold).alias(f"rows_{fold}") for fold in groups]).collect()
 
-    fitted = []
+    learned = []
     for number, fold in enumerate(groups):
         kept = [row for row in per_fold if row["fold"] != fold]
         fills, lows, highs = [], [], []
@@ -225,8 +226,9 @@ def fit_per_fold(
         if counted and cat_strategy == "most_frequent":
             family_fill = min(counted, key=lambda level: (-counted[level], level))
         levels = sorted({*counted, *([family_fill] if missing else [])})
-        fitted.append(_assemble_fitted(rows, fills, lows, highs, family_fill, levels))
-    return fitted
+        learned.append((rows, fills, lows, highs, family_fill, levels))
+    with ThreadPool(len(learned)) as pool:
+        return pool.starmap(_assemble_fitted, learned)
 
 
 def _assemble_fitted(rows: DataFrame, fills, lows, highs, family_fill: str, levels: list[str]) -> PipelineModel:
