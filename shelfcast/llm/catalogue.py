@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import byte_pairs, token_counts
+from shelfcast.llm import byte_pairs, quality_outliers, token_counts
 from shelfcast.llm.columns import documents, tokenizer_file
 
 
@@ -26,9 +26,15 @@ def op5_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality_outliers.verdicts(documents(spark, sf_dir)).drop("lang", "source")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op5_byte_pairs": op5_byte_pairs,
+    "op9_quality_outliers": op9_quality_outliers,
 }
 
 ORACLE: dict[str, str] = {}
