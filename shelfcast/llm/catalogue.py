@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import byte_pairs, quality_outliers, token_counts
+from shelfcast.llm import byte_pairs, language_id, quality_outliers, token_counts
 from shelfcast.llm.columns import documents, tokenizer_file
 
 
@@ -26,6 +26,12 @@ def op5_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; a quarter of the documents is never learned from."""
+    docs = documents(spark, sf_dir)
+    return language_id.identify(docs, language_id.fit(docs))
+
+
 def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality_outliers.verdicts(documents(spark, sf_dir)).drop("lang", "source")
@@ -34,6 +40,7 @@ def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op5_byte_pairs": op5_byte_pairs,
+    "op6_language_id": op6_language_id,
     "op9_quality_outliers": op9_quality_outliers,
 }
 
