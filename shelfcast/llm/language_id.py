@@ -28,7 +28,7 @@ from shelfcast.llm.encoding import slices
 UNKNOWN = "und"
 WINDOW = 128  # bytes
 WIDTHS = (2, 3, 4)
-FILTERS = 16  # per width
+FILTERS = 8  # per width
 MOST_LANGUAGES = 1000
 
 
