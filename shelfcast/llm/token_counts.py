@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from shelfcast.llm.byte_pairs import count_ids
 from shelfcast.llm.columns import settle, ship
 
-SPAN = 4096  # lengths that one task sums over
+SPAN = 256  # lengths that one task sums over
 
 
 def document_lengths(docs: DataFrame, ranks: str) -> DataFrame:
