@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import byte_pairs, language_id, quality_outliers, token_counts
+from shelfcast.llm import byte_pairs, language_id, quality_outliers, token_counts, toxicity
 from shelfcast.llm.columns import documents, tokenizer_file
 
 
@@ -32,6 +32,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.fit(docs))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity verdict and category probabilities of every document."""
+    docs = documents(spark, sf_dir)
+    return toxicity.classify(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality_outliers.verdicts(documents(spark, sf_dir)).drop("lang", "source")
@@ -41,6 +47,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op5_byte_pairs": op5_byte_pairs,
     "op6_language_id": op6_language_id,
+    "op7_toxicity": op7_toxicity,
     "op9_quality_outliers": op9_quality_outliers,
 }
 
