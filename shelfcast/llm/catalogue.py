@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import byte_pairs, language_id, quality_outliers, token_counts, toxicity
+from shelfcast.llm import byte_pairs, language_id, packing, quality_outliers, token_counts, toxicity, wavelet
 from shelfcast.llm.columns import documents, tokenizer_file
 
 
@@ -14,6 +14,18 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.limit_table(token_counts.length_histogram(lengths))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and place."""
+    packed = packing.pack(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
+    return packed.place(["doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")])
+
+
+def op4_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, size and checksum of every document's ids, read back from wavelet shards."""
+    shards = wavelet.write_shards(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
+    return wavelet.read_shards(shards).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op5_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the bytes decoded from them."""
     ranks = tokenizer_file("byte_bpe_50k.tiktoken")
@@ -45,6 +57,8 @@ def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_packing": op2_packing,
+    "op4_wavelet": op4_wavelet,
     "op5_byte_pairs": op5_byte_pairs,
     "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
