@@ -3,10 +3,9 @@
 Documents are encoded and cut into pieces of at most ``capacity`` ids. Only the histogram of piece
 lengths, at most ``capacity`` numbers, reaches the driver, so planning costs the same for any number
 of documents. There a configuration (how many pieces of which lengths share a sequence) is priced by
-a knapsack dynamic program, multiplicative weights raise the prices of lengths that are covered too
-little, and the averaged configurations are the fractional solution. It is rounded down; what
-is left is filled configuration by configuration, each by a subset-sum program
-around the longest remaining piece.
+a knapsack dynamic program, multiplicative weights favour lengths that are covered too little, and
+the averaged configurations are the fractional solution. It is rounded down, with a share of every
+length held back, and best fit places what rounding left. Both work on counts, not pieces.
 
 Pieces are then numbered within their length: by a running number within the task that wrote them
 and the number of such pieces in earlier tasks, so that a length shared by a third of all pieces is
@@ -18,6 +17,7 @@ of an empty table give no sequences; repeated rows are packed like any others.
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -32,21 +32,32 @@ from shelfcast.session import new_shared_path
 
 ROUNDS = 40  # of multiplicative weights
 NEAR_BEST = 0.03  # configurations this close to the best value are taken in a round
-STEP = 0.3
+STEP = 0.5  # of a length's weight
+PRICE_STEP = 0.002 # of its price
+RESERVE = 0.25 # of each length's pieces, left for the repair after rounding
 
 Configuration = tuple[tuple[int, int], ...]  # (length, pieces), longest first
 
 
-def _knapsack(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best value for every room up to ``capacity``, and the length taken last (0: none fits)."""
+def _knapsack(
+    prices: np.ndarray, lengths: np.ndarray, weights: np.ndarray, capacity: int, random: np.random.Generator
+) -> tuple[np.ndarray, np.ndarray]:
+    """Best value for every room up to ``capacity``, and the length taken last (0: none fits).
+
+    Among lengths of equal value the last one is drawn in proportion to ``weights``.
+    """
     best, last = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
     fitting = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
+    draw = np.log(weights)
+    chances = random.gumbel(size=2 * len(lengths))
+    shifts = random.integers(len(lengths), size=capacity + 1) if len(lengths) else None
     for room in range(1, capacity + 1):
         count = fitting[room]
         if count:
             values = best[room - lengths[:count]] + prices[:count]
-            top = int(values.argmax())
-            best[room], last[room] = values[top], lengths[top]
+            best[room] = top = values.max()
+            ticket = draw[:count] + chances[shifts[room]:shifts[room] + count]
+            last[room] = lengths[np.where(values >= top - 1e-9, ticket, -np.inf).argmax()]
     return best, last
 
 
@@ -67,74 +78,75 @@ def fractional_solution(counts: np.ndarray, capacity: int, rounds: int = ROUNDS)
         return {}
     demand = counts[lengths].astype(float)
     place = {int(length): number for number, length in enumerate(lengths)}
-    prices = lengths / capacity
+    prices, weights, covered = lengths / capacity, demand.copy(), np.zeros(len(lengths))
+    random = np.random.default_rng(1)
     used: dict[Configuration, float] = defaultdict(float)
-    for _ in range(rounds):
-        best, last = _knapsack(prices, lengths, capacity)
+    for turn in range(1, rounds + 1):
+        best, last = _knapsack(prices, lengths, weights, capacity, random)
         values = prices + best[capacity - lengths]
         chosen = np.flatnonzero(values >= (1 - NEAR_BEST) * values.max())
         patterns = [_configuration(int(lengths[number]), last, capacity) for number in chosen]
         cover, times = np.zeros(len(lengths)), []
         for number, pattern in zip(chosen, patterns):
-            times.append(demand[number] / dict(pattern)[int(lengths[number])])
+            times.append(weights[number] / dict(pattern)[int(lengths[number])])
             for length, pieces in pattern:
                 cover[place[length]] += times[-1] * pieces
         scale = float((demand * lengths).sum() / (cover * lengths).sum())
         for pattern, often in zip(patterns, times):
             used[pattern] += often * scale / rounds
-        excess = np.clip(cover * scale / demand - 1, -1, 1)
-        prices = prices * np.exp(-STEP * excess)
+        covered += cover * scale
+        lacking = np.clip(1 - covered / (turn * demand), -1, 1)
+        weights = weights * np.exp(STEP * lacking)
+        prices = prices * np.exp(PRICE_STEP * lacking)
     return dict(used)
 
 
-def _fill(remaining: dict[int, int], capacity: int) -> Configuration:
-    """The fullest configuration around the longest remaining piece, longer pieces preferred."""
-    order = sorted(remaining, reverse=True)
-    pieces: dict[int, int] = {order[0]: 1}
-    room = capacity - order[0]
-    reach, full, steps = 1, 1 << room, []
-    mask = (1 << (room + 1)) - 1
-    for length in order:
-        left = min(remaining[length] - (length == order[0]), room // length)
-        group = 1
-        while left > 0:
-            group = min(group, left)
-            grown = (reach | (reach << (length * group))) & mask
-            if grown != reach:
-                steps.append((length, group, reach))
-                reach = grown
-            left -= group
-            group *= 2
-        if reach & full:
-            break
-    at = reach.bit_length() - 1
-    for length, group, before in reversed(steps):
-        if not before >> at & 1:
-            pieces[length] = pieces.get(length, 0) + group
-            at -= length * group
-    return tuple(sorted(pieces.items(), reverse=True))
+def best_fit(remaining: dict[int, int], capacity: int) -> list[tuple[Configuration, int]]:
+    """Longest pieces first, each into the fullest sequence with room; equal sequences move as one."""
+    rooms: list[int] = []  # sorted, of open sequences
+    groups: dict[int, list[tuple[dict[int, int], int]]] = defaultdict(list)
+
+    def put(pieces: dict[int, int], often: int, room: int) -> None:
+        if often:
+            if not groups[room]:
+                insort(rooms, room)
+            groups[room].append((pieces, often))
+
+    for length in sorted(remaining, reverse=True):
+        count = remaining[length]
+        while count:
+            at = bisect_left(rooms, length)
+            if at == len(rooms):
+                each = capacity // length
+                put({length: each}, count // each, capacity - each * length)
+                if count % each:
+                    put({length: count % each}, 1, capacity - count % each * length)
+                break
+            room = rooms[at]
+            pieces, often = groups[room].pop()
+            if not groups[room]:
+                rooms.pop(at)
+            taken = min(often, count)
+            put(pieces, often - taken, room)
+            put({**pieces, length: pieces.get(length, 0) + 1}, taken, room - length)
+            count -= taken
+    return [(tuple(sorted(p.items(), reverse=True)), often) for group in groups.values() for p, often in group]
 
 
 def plan(counts: np.ndarray, capacity: int) -> list[tuple[Configuration, int]]:
-    """Configurations with whole numbers of sequences that place every piece of the histogram."""
-    remaining = {int(length): int(counts[length]) for length in np.flatnonzero(counts)}
-    result: list[tuple[Configuration, int]] = []
+    """Configurations with whole numbers of sequences that place every piece of the histogram.
 
-    def take(pattern: Configuration, often: int) -> None:
-        result.append((pattern, often))
-        for length, pieces in pattern:
-            remaining[length] -= often * pieces
-            if not remaining[length]:
-                del remaining[length]
-
-    for pattern, often in sorted(fractional_solution(counts, capacity).items(), reverse=True):
-        whole = min(int(often), *(remaining.get(length, 0) // pieces for length, pieces in pattern))
-        if whole:
-            take(pattern, whole)
-    while remaining:
-        pattern = _fill(remaining, capacity)
-        take(pattern, min(remaining[length] // pieces for length, pieces in pattern))
-    return result
+    The share held back keeps some short pieces for the gaps that the last long ones leave.
+    """
+    left, reserve = counts.copy(), np.ceil(RESERVE * counts).astype(np.int64)
+    result: list[tuple[Configuration, int]] = []
+    for pattern, often in sorted(fractional_solution(counts, capacity).items(), key=lambda item: (-item[1], item[0])):
+        whole = min(int(often), *(int(left[length] - reserve[length]) // pieces for length, pieces in pattern))
+        if whole > 0:
+            result.append((pattern, whole))
+            for length, pieces in pattern:
+                left[length] -= whole * pieces
+    return result + best_fit({int(length): int(left[length]) for length in np.flatnonzero(left)}, capacity)
 
 
 @dataclass(frozen=True)
