@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import byte_pairs, language_id, packing, quality_outliers, token_counts, toxicity, wavelet
+from shelfcast.llm import byte_pairs, language_id, packing, quality_outliers, syncmers, token_counts, toxicity, wavelet
 from shelfcast.llm.columns import documents, tokenizer_file
 
 
@@ -20,6 +20,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.place(["doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")])
 
 
+def op3_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and its likeness to its edited text and its successor."""
+    return syncmers.compare_neighbours(documents(spark, sf_dir))
+
+
 def op4_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, size and checksum of every document's ids, read back from wavelet shards."""
     shards = wavelet.write_shards(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
@@ -58,6 +63,7 @@ def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
+    "op3_syncmers": op3_syncmers,
     "op4_wavelet": op4_wavelet,
     "op5_byte_pairs": op5_byte_pairs,
     "op6_language_id": op6_language_id,
