@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import byte_pairs, language_id, packing, quality_outliers, syncmers, token_counts, toxicity, wavelet
+from shelfcast.llm import byte_pairs, language_id, packing, quality_outliers, substring_dedup, syncmers, token_counts, toxicity, wavelet
 from shelfcast.llm.columns import documents, tokenizer_file
 
 
@@ -55,6 +55,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document, how many of them repeated passages cover, and the digest of the rest."""
+    rest = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    return rest.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality_outliers.verdicts(documents(spark, sf_dir)).drop("lang", "source")
@@ -68,6 +74,7 @@ QUERIES = {
     "op5_byte_pairs": op5_byte_pairs,
     "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_outliers": op9_quality_outliers,
 }
 
