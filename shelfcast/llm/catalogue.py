@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import byte_pairs, language_id, packing, quality_outliers, substring_dedup, syncmers, token_counts, toxicity, wavelet
+from shelfcast.llm import byte_pairs, jaccard_join, language_id, packing, quality_outliers, substring_dedup, syncmers, token_counts, toxicity, wavelet
 from shelfcast.llm.columns import documents, tokenizer_file
 
 
@@ -66,6 +66,11 @@ def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_outliers.verdicts(documents(spark, sf_dir)).drop("lang", "source")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and component of every document."""
+    return jaccard_join.join_components(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
@@ -76,6 +81,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_outliers": op9_quality_outliers,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {}
