@@ -121,12 +121,12 @@ def predict_chain(x: np.ndarray, weights: Sequence[np.ndarray]) -> np.ndarray:
 
 def fit(
     docs: DataFrame, labels: DataFrame, categories: dict[str, str] | None = None,
-    per_class: int = 3000, most_words: int = 400,
+    per_class: int = 2000, most_words: int = 400,
 ) -> ToxicityModel | None:
     """A model from about ``per_class`` documents with and without the first category, by a hash of the id.
 
     ``labels`` has ``doc_id`` and the columns that the category conditions name. None unless both
-    classes occur.
+    classes occur. The picked ids, twice ``per_class`` of them, are broadcast, so texts stay in place.
     """
     categories = categories or CATEGORIES
     names = list(categories)
@@ -139,9 +139,9 @@ def fit(
     share = F.when(F.col("hit0"), min(1.0, per_class / sizes[True])).otherwise(min(1.0, per_class / sizes[False]))
     picked = marked.filter(hashed / 1_000_003 < share)
     rows = (
-        docs.select("doc_id", words_of(F.col("text")).alias("words"))
-        .join(picked, "doc_id")
-        .select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold"), "words", *[f"hit{n}" for n in range(len(names))])
+        docs.select("doc_id", "text")
+        .join(F.broadcast(picked), "doc_id")
+        .select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold"), words_of(F.col("text")).alias("words"), *[f"hit{n}" for n in range(len(names))])
         .orderBy("doc_id", *[f"hit{n}" for n in range(len(names))])
         .collect()
     )
