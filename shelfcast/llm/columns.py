@@ -10,14 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.session import shared_dir
 
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package's source to the Python workers, once per application.
+    """Readies a session for Python work on texts; called by every operator that needs it.
 
-    Executors have no copy of it unless the job was submitted with one.
+    The package's source goes to the workers, once per application, as executors have no copy of it
+    unless the job was submitted with one. Batches are bounded by bytes as well as rows, so that a
+    worker's memory does not follow the length of texts.
     """
+    if int(spark.conf.get(BATCH_LIMIT, str(1 << 31))) > BATCH_BYTES:
+        spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

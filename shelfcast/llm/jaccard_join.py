@@ -8,7 +8,7 @@ cut into size bands, so only sizes within a ratio of 3 to 4 meet.
 1. In each band every node is paired with the band's first one. Those pairs are as many as rows, and
    settle large groups of near copies. Their verified links give first components.
 2. In tiles that still hold several components, nodes of different ones are compared by bitmap
-   signatures: a set flips the bit of each element, so differing bits of two signatures bound the
+   signatures, as wide as their sets are large: a set flips the bit of each element, so differing bits of two signatures bound the
    difference of the sets from below and their overlap from above. Only pairs that pass are emitted.
 3. Passing pairs are verified by intersecting sorted arrays of the whole sets.
 
@@ -33,7 +33,7 @@ from shelfcast.llm.tables import stored
 from shelfcast.llm.word_hashes import mixed, runs, words_of
 
 SHINGLE = 5
-BITS = 512
+LEAST_BITS = 128
 COMMON_TILE = 500  # rows from which a tile's shingle is moved to the end of the order
 MOST_COMMON = 4_000_000
 MEMBERS = 200  # verified against one copy of a text
@@ -53,10 +53,25 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return found
 
 
+def width_of(size: int) -> int:
+    """Bits of a signature: a power of two, at least as many as elements, so that it prunes at any size."""
+    return max(LEAST_BITS, 1 << max(size - 1, 0).bit_length())
+
+
 def signature(shingles: np.ndarray) -> bytes:
-    """Parity of the number of shingles that fall on each bit."""
-    counts = np.bincount((mixed(shingles) % np.uint64(BITS)).astype(np.int64), minlength=BITS)
-    return np.packbits(counts & 1).tobytes()
+    """Parity of the number of shingles that fall on each bit.
+
+    Folding its halves onto each other gives the signature of half the width.
+    """
+    width = width_of(len(shingles))
+    counts = np.bincount((mixed(shingles) & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bits: np.ndarray) -> np.ndarray:
+    """Rows of 64-bit words at half their width."""
+    half = bits.shape[-1] // 2
+    return bits[..., :half] ^ bits[..., half:]
 
 
 def least_overlap(sizes: np.ndarray | int) -> np.ndarray | int:
@@ -175,15 +190,18 @@ def _tiles(prefixes: DataFrame) -> DataFrame:
     return stored(ordered.mapInArrow(lead, "shingle bigint, size int, node bigint, leader bigint"), "shingle-tiles")
 
 
-def _may_link(size_one: np.ndarray, size_two: np.ndarray, bits_one: np.ndarray, bits_two: np.ndarray) -> np.ndarray:
-    """Whether differing bits leave room for enough overlap; ``bits`` are rows of 64-bit words."""
-    differing = np.bitwise_count(bits_one ^ bits_two).sum(axis=-1, dtype=np.int64)
-    total = size_one.astype(np.int64) + size_two
+def _may_link(total: np.ndarray, differing: np.ndarray) -> np.ndarray:
+    """Whether sets of this total size with at least so many differing elements can link."""
     return (total - differing) // 2 >= least_overlap(total)
 
 
-def _bit_rows(bits: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(bits.to_pylist()), np.uint64).reshape(-1, BITS // 64)
+def _differing(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Differing bits of signatures, rows of 64-bit words, the wider ones folded to the narrower width."""
+    while one.shape[-1] > two.shape[-1]:
+        one = folded(one)
+    while two.shape[-1] > one.shape[-1]:
+        two = folded(two)
+    return np.bitwise_count(one ^ two).sum(axis=-1, dtype=np.int64)
 
 
 def _passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -191,7 +209,12 @@ def _passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     @F.arrow_udf("boolean")
     def may(size_a: pa.Array, size_b: pa.Array, bits_a: pa.Array, bits_b: pa.Array) -> pa.Array:
-        return pa.array(_may_link(size_a.to_numpy(), size_b.to_numpy(), _bit_rows(bits_a), _bit_rows(bits_b)))
+        differing = [
+            int(_differing(np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)))
+            for one, two in zip(bits_a.to_pylist(), bits_b.to_pylist())
+        ]
+        total = size_a.to_numpy().astype(np.int64) + size_b.to_numpy()
+        return pa.array(_may_link(total, np.array(differing, np.int64)))
 
     for side in "ab":
         own = nodes.select(F.col("node").alias(side), F.col("size").alias(f"size_{side}"), F.col("bits").alias(f"bits_{side}"))
@@ -233,24 +256,33 @@ def _across(tiles: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _compared(table: pa.Table, begins: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
-    size, node, label = (table.column(name).to_numpy() for name in ("size", "node", "label"))
-    bits = _bit_rows(table.column("bits").combine_chunks()) if len(begins) else None
+    size, node, label = (table.column(name).to_numpy().astype(np.int64) for name in ("size", "node", "label"))
+    bits = table.column("bits").to_pylist()
     left, right = [], []
     for begin, end in zip(begins.tolist(), ends.tolist()):
         values, counts = np.unique(label[begin:end], return_counts=True)
         main = values[counts.argmax()]
+        # Rows are sorted by size, so those of one signature width are neighbours.
+        widths = np.array([len(own) for own in bits[begin:end]])
+        cuts = begin + np.flatnonzero(np.r_[True, np.diff(widths) != 0, True])
+        parts = [
+            (low, high, np.frombuffer(b"".join(bits[low:high]), np.uint64).reshape(high - low, -1))
+            for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist())
+        ]
         for one in (begin + np.flatnonzero(label[begin:end] != main)).tolist():
             # all partners of the largest component, and earlier ones of the others
-            low = begin + np.searchsorted(size[begin:end], -(-3 * int(size[one]) // 4))
-            high = begin + np.searchsorted(size[begin:end], 4 * int(size[one]) // 3, side="right")
-            for block in range(low, high, BLOCK):
-                other = np.arange(block, min(block + BLOCK, high))
-                other = other[(label[other] == main) | ((label[other] != label[one]) & (other < one))]
-                passed = other[_may_link(size[one], size[other], bits[one], bits[other])]
-                left.append(np.minimum(node[one], node[passed]))
-                right.append(np.maximum(node[one], node[passed]))
+            least = begin + np.searchsorted(size[begin:end], -(-3 * size[one] // 4))
+            most = begin + np.searchsorted(size[begin:end], 4 * size[one] // 3, side="right")
+            own = np.frombuffer(bits[one], np.uint64)
+            for low, high, rows in parts:
+                for block in range(max(low, least), min(high, most), BLOCK):
+                    other = np.arange(block, min(block + BLOCK, high, most))
+                    other = other[(label[other] == main) | ((label[other] != label[one]) & (other < one))]
+                    passed = other[_may_link(size[one] + size[other], _differing(own, rows[other - low]))]
+                    left.append(np.minimum(node[one], node[passed]))
+                    right.append(np.maximum(node[one], node[passed]))
     columns = [np.concatenate(part) if part else np.zeros(0, np.int64) for part in (left, right)]
-    return pa.RecordBatch.from_arrays([pa.array(column.astype(np.int64)) for column in columns], ["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], ["a", "b"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
