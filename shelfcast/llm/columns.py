@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.session import shared_dir
 
-BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
 
 _shipped: set[str] = set()
@@ -23,8 +22,7 @@ def ship(spark: SparkSession) -> None:
     unless the job was submitted with one. Batches are bounded by bytes as well as rows, so that a
     worker's memory does not follow the length of texts.
     """
-    if int(spark.conf.get(BATCH_LIMIT, str(1 << 31))) > BATCH_BYTES:
-        spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
