@@ -14,8 +14,9 @@ import time
 from shelfcast.catalogue.queries import QUERIES
 from shelfcast.session import build_session
 
-HEADLINE = ["daily_ma_all", "enrich_train", "features_vector", "grid_scores_linear", "predict_forest", "predict_gbt"]
-LONG = {"predict_gbt"}  # one timed run
+HEADLINE = ["daily_ma_all", "enrich_train", "features_vector", "grid_scores_linear", "predict_forest", "predict_gbt",
+            "predict_decision", "grid_scores_tree"]
+LONG = {"predict_gbt", "predict_decision", "grid_scores_tree"}  # one timed run
 
 
 def seconds(spark, sf_dir: str, name: str) -> float:

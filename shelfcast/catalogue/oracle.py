@@ -196,7 +196,8 @@ def _tree_params(depth: int) -> str:
     )
 
 
-# Two stumps, the second on what the first leaves over, added at a tenth.
+# Two stumps, the second on what the first leaves over, added at a tenth. This is Spark ML's own start:
+# the first stump counts in full. It does not show a start from the mean with every tree shrunk.
 BOOSTED = f"""
     b_fit AS (SELECT *, 1 AS node FROM ({YEAR_ROWS}) t), b_score AS (SELECT *, 1 AS node FROM ({TEST_ROWS}) t),
     {_grow("b_fit", "first")},
@@ -216,7 +217,45 @@ def _linear_scores(projection: str) -> str:
     {projection}"""
 
 
+def _constant_oil(rows: str) -> str:
+    """Fold rows with missing prices as 0 instead of the mean."""
+    return (
+        rows.replace("coalesce(dcoilwtico, avg(dcoilwtico) OVER (PARTITION BY k.g))", "coalesce(dcoilwtico, 0)")
+        .replace("coalesce(dcoilwtico, oil_mean)", "coalesce(dcoilwtico, 0)")
+    )
+
+
+def _row_counts(in_range: bool) -> str:
+    extra = ", CAST(count(*) AS BIGINT) AS in_range" if in_range else ""
+    return _q(f"""SELECT id, CAST(count(*) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS predicted{extra}
+                  FROM enriched_test GROUP BY id""")
+
+
+def _tree_grid_point(number: int, depth: int, features: str) -> str:
+    params = _tree_params(depth).replace('"max_features": null', f'"max_features": {features}')
+    return f"SELECT {number} AS grid_point, '{params}' AS params, CAST(1 AS BIGINT) AS best_points"
+
+
 ORACLE: dict[str, str] = {
+    "predict_decision_rows": _row_counts(True),
+    "predict_forest_rows": _row_counts(True),
+    "predict_gbt_rows": _row_counts(False),
+    "grid_points_tree": " UNION ALL ".join([
+        _tree_grid_point(0, 2, '"sqrt"'), _tree_grid_point(1, 2, "null"),
+        _tree_grid_point(2, 5, '"sqrt"'), _tree_grid_point(3, 5, "null"),
+    ]),
+    "grid_scores_linear_constant": f"""{WITH_INPUTS}, {_least_squares(_constant_oil(OTHER_FOLDS), _constant_oil(HELD_OUT_FOLD))},
+        score(score) AS ({_mean_r2("fitted")})
+        SELECT 0 AS grid_point, '{{"fit_intercept": true}}' AS params, score AS mean_r2 FROM score""",
+    "csv_roundtrip_linear": _q(f", {_least_squares(YEAR_ROWS, TEST_ROWS)} SELECT id, round(p, 2) AS sales FROM fitted"),
+    "read_train_csv": _q("SELECT id, date, CAST(store_nbr AS INTEGER) AS store_nbr, family, round(sales, 2) AS sales, onpromotion FROM train"),
+    "read_test_csv": _q("SELECT id, date, CAST(store_nbr AS INTEGER) AS store_nbr, family, onpromotion FROM test"),
+    "read_oil_csv": _q("SELECT date, dcoilwtico FROM oil"),
+    "read_holidays_csv": _q("SELECT date, type FROM holidays"),
+    "read_transactions_csv": _q("SELECT date, CAST(store_nbr AS INTEGER) AS store_nbr, transactions FROM transactions"),
+    "hist_family_missing": _q(
+        "SELECT nullif(family, 'PROMO') AS value, count(*) AS count FROM enriched GROUP BY nullif(family, 'PROMO')"
+    ),
     "parse_dates": _q("SELECT CAST(date AS VARCHAR) AS date_text, date, store_nbr, transactions FROM transactions"),
     "filter_year_train": _q(
         "SELECT id, date, store_nbr, family, round(sales, 2) AS sales, onpromotion FROM year_train"

@@ -39,12 +39,13 @@ from shelfcast.plans.training import select_model, training_rows
 from shelfcast.plans.trend import daily_trend, trend_for_year, trend_from_year
 from shelfcast.session import materialize, new_shared_path
 from shelfcast.sources import stand_ins
-from shelfcast.sources.readers import read_table
+from shelfcast.sources.readers import read_holidays, read_oil, read_table, read_test, read_train, read_transactions
 from shelfcast.sources.schemas import TRAIN
 from shelfcast.sources.writers import write_predictions
 
 YEAR = 1997
 NEW_YEAR = 1998
+TREE_GRID = {"max_depth": [2, 5], "max_features": ["sqrt", None]}
 ALL_YEARS = (date(1995, 1, 1), date(2001, 12, 31))
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,16 +59,16 @@ def _year_train(spark: SparkSession, sf_dir: str, year: int = YEAR) -> DataFrame
     return filter_year(stand_ins.train(spark, sf_dir, year_span(year)), year)
 
 
-def _dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return stand_ins.oil(spark, sf_dir), stand_ins.holidays(spark, sf_dir)
+def _dimensions(spark: SparkSession, sf_dir: str, bounds: stand_ins.Bounds) -> tuple[DataFrame, DataFrame]:
+    return stand_ins.oil(spark, sf_dir, bounds), stand_ins.holidays(spark, sf_dir, bounds)
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(_year_train(spark, sf_dir), *_dimensions(spark, sf_dir))
+    return enrich(_year_train(spark, sf_dir), *_dimensions(spark, sf_dir, year_span(YEAR)))
 
 
 def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_rows(_year_train(spark, sf_dir), *_dimensions(spark, sf_dir), YEAR)
+    return training_rows(_year_train(spark, sf_dir), *_dimensions(spark, sf_dir, year_span(YEAR)), YEAR)
 
 
 # Filters and projections
@@ -133,7 +134,7 @@ def enrich_train(spark, sf_dir):
 
 
 def enrich_test(spark, sf_dir):
-    return enrich(stand_ins.test(spark, sf_dir), *_dimensions(spark, sf_dir)).select(
+    return enrich(stand_ins.test(spark, sf_dir), *_dimensions(spark, sf_dir, stand_ins.TEST_BOUNDS)).select(
         "id", "date", "store_nbr", "family", "onpromotion", "dcoilwtico", "type", "is_holiday"
     )
 
@@ -238,20 +239,57 @@ def r2_group_mean(spark, sf_dir):
     return r2(held_out.join(means, "family"), "sales", "mean_sales").select(_rounded("r2", 6))
 
 
+def _forecast(spark, sf_dir, fitted) -> DataFrame:
+    return forecast(fitted, stand_ins.test(spark, sf_dir), *_dimensions(spark, sf_dir, stand_ins.TEST_BOUNDS))
+
+
 def _predicted(model: str, digits: int | None = None, **values) -> Query:
     """Fit on the year, predict the test table. ``values`` replace defaults of the grid point."""
     point = grid_points(model, {name: [value] for name, value in values.items()})[0]
 
     def query(spark, sf_dir):
-        fitted = fit_model(_training(spark, sf_dir), model, point)
-        output = forecast(fitted, stand_ins.test(spark, sf_dir), *_dimensions(spark, sf_dir))
+        output = _forecast(spark, sf_dir, fit_model(_training(spark, sf_dir), model, point))
         return output if digits is None else output.withColumn("sales", F.round("sales", digits))
 
     return query
 
 
-def _searched(spark, sf_dir, model: str, grid: dict | None = None):
-    return select_model(_year_train(spark, sf_dir), *_dimensions(spark, sf_dir), YEAR, model, grid=grid)
+def _predicted_rows(model: str) -> Query:
+    """Rows per id of a model with random parts, and how many lie in the range of the year's labels.
+
+    Trees predict means of labels, so all do; boosting adds steps and may leave the range.
+    """
+
+    def query(spark, sf_dir):
+        training = materialize(_training(spark, sf_dir), "training-rows")
+        low, high = training.agg(F.min("label"), F.max("label")).first()
+        output = _forecast(spark, sf_dir, fit_model(training, model))
+        inside = F.col("sales").between(low - 1e-6, high + 1e-6)
+        counts = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col("sales").isNotNull()).alias("predicted")]
+        if model != "gradient":
+            counts.append(F.count_if(inside).alias("in_range"))
+        return output.groupBy("id").agg(*counts)
+
+    return query
+
+
+def _searched(spark, sf_dir, model: str, grid: dict | None = None, **search):
+    year = _year_train(spark, sf_dir), *_dimensions(spark, sf_dir, year_span(YEAR))
+    return select_model(*year, YEAR, model, grid=grid, **search)
+
+
+def grid_scores_linear_constant(spark, sf_dir):
+    """Missing prices as 0 instead of the mean, missing families as a level of their own."""
+    result = _searched(spark, sf_dir, "linear", num_strategy="constant", cat_strategy="constant")
+    return score_report(spark, result).select("grid_point", "params", _rounded("mean_r2", 6))
+
+
+def grid_points_tree(spark, sf_dir):
+    """Grid points of ``grid_scores_tree`` with how many of them are the best one."""
+    result = _searched(spark, sf_dir, "decision", TREE_GRID)
+    report = score_report(spark, result)
+    best = report.filter("best").count()
+    return report.select("grid_point", "params", F.lit(best).cast("long").alias("best_points"))
 
 
 def grid_scores_linear(spark, sf_dir):
@@ -260,8 +298,7 @@ def grid_scores_linear(spark, sf_dir):
 
 
 def grid_scores_tree(spark, sf_dir):
-    result = _searched(spark, sf_dir, "decision", {"max_depth": [2, 5], "max_features": ["sqrt", None]})
-    return score_report(spark, result)
+    return score_report(spark, _searched(spark, sf_dir, "decision", TREE_GRID))
 
 
 def grid_scores_full_tree(spark, sf_dir):
@@ -283,6 +320,26 @@ def csv_roundtrip(spark, sf_dir):
     return back.select("id", _rounded("sales", 6))
 
 
+def csv_roundtrip_linear(spark, sf_dir):
+    """Fit, forecast, write the predictions, read them back."""
+    fitted = fit_model(_training(spark, sf_dir), "linear")
+    path = new_shared_path(spark, "forecast")
+    write_predictions(_forecast(spark, sf_dir, fitted), path)
+    back = read_table(spark, path, TRAIN, optional=set(TRAIN.names) - {"id", "sales"})
+    return back.select("id", _rounded("sales", 2))
+
+
+def _read_back(table: Callable[[SparkSession, str], DataFrame], reader, *columns: str) -> Query:
+    """A stand-in input written as CSV in several files and read by its reader."""
+
+    def query(spark, sf_dir):
+        path = new_shared_path(spark, "input")
+        table(spark, sf_dir).write.option("header", True).csv(path)
+        return reader(spark, path, "csv").selectExpr(*columns)
+
+    return query
+
+
 # Chart tables
 
 
@@ -330,6 +387,11 @@ def hist_family(spark, sf_dir):
     return charts.histogram_data(_features(spark, sf_dir), "family")
 
 
+def hist_family_missing(spark, sf_dir):
+    """Families with PROMO taken as missing; they keep a bin of their own."""
+    return charts.histogram_data(_features(spark, sf_dir).withColumn("family", F.nullif("family", F.lit("PROMO"))), "family")
+
+
 def _box(column: str) -> Query:
     def query(spark, sf_dir):
         table = charts.box_data(_features(spark, sf_dir), column)
@@ -387,6 +449,19 @@ QUERIES: dict[str, Query] = {
     "grid_scores_full_tree": grid_scores_full_tree,
     "best_linear": best_linear,
     "csv_roundtrip": csv_roundtrip,
+    "csv_roundtrip_linear": csv_roundtrip_linear,
+    "predict_decision_rows": _predicted_rows("decision"),
+    "predict_forest_rows": _predicted_rows("randomforest"),
+    "predict_gbt_rows": _predicted_rows("gradient"),
+    "grid_scores_linear_constant": grid_scores_linear_constant,
+    "grid_points_tree": grid_points_tree,
+    "read_train_csv": _read_back(
+        stand_ins.train, read_train, "id", "date", "store_nbr", "family", "round(sales, 2) AS sales", "onpromotion"
+    ),
+    "read_test_csv": _read_back(stand_ins.test, read_test, "id", "date", "store_nbr", "family", "onpromotion"),
+    "read_oil_csv": _read_back(stand_ins.oil, read_oil, "date", "dcoilwtico"),
+    "read_holidays_csv": _read_back(stand_ins.holidays, read_holidays, "date", "type"),
+    "read_transactions_csv": _read_back(stand_ins.transactions, read_transactions, "date", "store_nbr", "transactions"),
     "scatter_transactions": scatter_transactions,
     "scatter_daily": scatter_daily,
     "scatter_features": scatter_features,
@@ -396,6 +471,7 @@ QUERIES: dict[str, Query] = {
     "pie_family": pie_family,
     "hist_store": hist_store,
     "hist_family": hist_family,
+    "hist_family_missing": hist_family_missing,
     "box_store": _box("store_nbr"),
     "box_oil": _box("dcoilwtico"),
 }

@@ -8,19 +8,27 @@ from collections.abc import Mapping
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.functions.columns import clip_at_zero
 from shelfcast.ml.params import DEEPEST, grid_points
 from shelfcast.ml.preprocess import preprocessor
-from shelfcast.operators.filters import feature_frame
-from shelfcast.session import materialize
+from shelfcast.operators.filters import NUMERIC, feature_frame
+from shelfcast.session import materialized
 
 COLUMNS = {"featuresCol": "features", "labelCol": "label", "predictionCol": "prediction"}
 
-# More bins than distinct values of any feature within a year (stores, one oil price per date), so
-# that every split between neighbouring values is considered.
-MAX_BINS = 512
+LEAST_BINS = 32
+
+
+def distinct_values(rows: DataFrame) -> int:
+    """Largest number of distinct values of a numeric feature, with one more for a fill value.
+
+    As many bins let a tree consider every split between neighbouring values. Beyond 10,000 rows and
+    the square of the bins, Spark ML looks for split candidates in a sample of that size.
+    """
+    counts = rows.agg(*[F.count_distinct(c).alias(c) for c in NUMERIC]).first()
+    return max(LEAST_BINS, *(count + 1 for count in counts))
 
 
 def _subset(rule: str | None, width: int) -> str:
@@ -31,18 +39,18 @@ def _subset(rule: str | None, width: int) -> str:
     return str(max(1, int(count)))
 
 
-def _tree_settings(params: Mapping, width: int) -> dict:
+def _tree_settings(params: Mapping, width: int, max_bins: int) -> dict:
     return {
         **COLUMNS,
         "maxDepth": params["max_depth"] or DEEPEST,
-        "maxBins": MAX_BINS,
+        "maxBins": max_bins,
         "minInfoGain": float(params["min_impurity_decrease"]),
         "featureSubsetStrategy": _subset(params["max_features"], width),
         "checkpointInterval": 10,
     }
 
 
-def linear(params: Mapping, width: int, seed: int) -> Pipeline:
+def linear(params: Mapping, width: int, seed: int, max_bins: int) -> Pipeline:
     """Least squares. One aggregation pass; the small normal equations are solved on the driver.
 
     All family slots together equal the intercept column. With an intercept the last slot is left
@@ -58,10 +66,10 @@ def linear(params: Mapping, width: int, seed: int) -> Pipeline:
     return Pipeline(stages=[used, solver])
 
 
-def decision_tree(params: Mapping, width: int, seed: int) -> RandomForestRegressor:
+def decision_tree(params: Mapping, width: int, seed: int, max_bins: int) -> RandomForestRegressor:
     """A forest of one tree on all rows: unlike the plain tree it can try a subset of features."""
     return RandomForestRegressor(
-        **_tree_settings(params, width),
+        **_tree_settings(params, width, max_bins),
         numTrees=1,
         bootstrap=False,
         cacheNodeIds=True,
@@ -71,16 +79,16 @@ def decision_tree(params: Mapping, width: int, seed: int) -> RandomForestRegress
     )
 
 
-def random_forest(params: Mapping, width: int, seed: int) -> RandomForestRegressor:
+def random_forest(params: Mapping, width: int, seed: int, max_bins: int) -> RandomForestRegressor:
     return RandomForestRegressor(
-        **_tree_settings(params, width),
+        **_tree_settings(params, width, max_bins),
         numTrees=params["n_estimators"],
         minInstancesPerNode=params["min_samples_leaf"],
         seed=seed,
     )
 
 
-def gradient_boosting(params: Mapping, width: int, seed: int) -> GBTRegressor:
+def gradient_boosting(params: Mapping, width: int, seed: int, max_bins: int) -> GBTRegressor:
     """Boosted trees.
 
     For squared error Spark ML fits each tree to twice the residual, so half the learning rate
@@ -89,7 +97,7 @@ def gradient_boosting(params: Mapping, width: int, seed: int) -> GBTRegressor:
     """
     loss, rate = params["loss"], float(params["learning_rate"])
     return GBTRegressor(
-        **_tree_settings(params, width),
+        **_tree_settings(params, width, max_bins),
         maxIter=params["n_estimators"],
         stepSize=rate / 2 if loss == "squared_error" else rate,
         lossType={"squared_error": "squared", "absolute_error": "absolute"}[loss],
@@ -105,9 +113,17 @@ BUILDERS = {
 }
 
 
-def build_model(model: str, params: Mapping, width: int, seed: int = 42):
+def build_model(model: str, params: Mapping, width: int, seed: int = 42, max_bins: int = LEAST_BINS):
     """Unfitted estimator for one grid point and a feature vector of ``width`` slots."""
-    return BUILDERS[model](params, width, seed)
+    return BUILDERS[model](params, width, seed, max_bins)
+
+
+def _check_depth(fitted, params: Mapping) -> None:
+    """Raises if a tree without a depth limit grew as deep as Spark ML allows, as it may be cut off."""
+    if params.get("max_depth", DEEPEST) is None:
+        trees = getattr(fitted, "trees", [fitted])
+        if any(tree.depth >= DEEPEST for tree in trees):
+            raise ValueError(f"max_depth=None: a tree reached depth {DEEPEST}, the most there can be; set max_depth")
 
 
 def vector_width(vectors: DataFrame) -> int:
@@ -119,14 +135,18 @@ def with_label(df: DataFrame) -> DataFrame:
     return df.withColumn("label", clip_at_zero())
 
 
-def fit_prepared(rows: DataFrame, prepared: PipelineModel, model: str, params: Mapping, seed: int) -> PipelineModel:
+def fit_prepared(
+    rows: DataFrame, prepared: PipelineModel, model: str, params: Mapping, seed: int, max_bins: int
+) -> PipelineModel:
     """One model fitted on stored feature rows behind a fitted preprocessor; returns both.
 
     Vectors are assembled anew in each pass instead of being cached: the stored columns are several
     times smaller, and the tree learners keep their own binned copy.
     """
     vectors = prepared.transform(rows).select("features", "label")
-    return PipelineModel(stages=[prepared, build_model(model, params, vector_width(vectors), seed).fit(vectors)])
+    fitted = build_model(model, params, vector_width(vectors), seed, max_bins).fit(vectors)
+    _check_depth(fitted, params)
+    return PipelineModel(stages=[prepared, fitted])
 
 
 def fit_model(
@@ -136,15 +156,22 @@ def fit_model(
     num_strategy: str = "mean",
     cat_strategy: str = "most_frequent",
     seed: int = 42,
+    max_bins: int | None = None,
 ) -> PipelineModel:
     """Preprocessor and one model fitted on feature rows with a ``label``.
 
-    The needed columns are first written to the shared folder, as a fit reads them many times.
-    Without ``params`` the model's default grid point is used.
+    The needed columns are written to the shared folder for the time of the fit, which reads them
+    many times. Without ``params`` the model's default grid point is used. ``max_bins`` bounds the
+    split candidates of a tree; without it there is one per distinct value.
     """
     params = params or grid_points(model)[0]
-    rows = materialize(feature_frame(df, "label"), "training")
-    return fit_prepared(rows, preprocessor(num_strategy, cat_strategy).fit(rows), model, params, seed)
+    with materialized(feature_frame(df, "label"), "training") as rows:
+        prepared = preprocessor(num_strategy, cat_strategy).fit(rows)
+        return fit_prepared(rows, prepared, model, params, seed, bins_for(model, rows, max_bins))
+
+
+def bins_for(model: str, rows: DataFrame, max_bins: int | None) -> int:
+    return max_bins or (LEAST_BINS if model == "linear" else distinct_values(rows))
 
 
 def predict(fitted: PipelineModel, df: DataFrame) -> DataFrame:

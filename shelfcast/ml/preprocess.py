@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from shelfcast.operators.filters import CATEGORICAL, NUMERIC
 
+# Strategies and fill values.
 NUMERIC_STRATEGIES = ["mean", "most_frequent", "constant"]
 CATEGORICAL_STRATEGIES = ["most_frequent", "constant"]
 NUMERIC_CONSTANT = 0.0

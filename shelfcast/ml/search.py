@@ -9,13 +9,14 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.ml.models import fit_prepared, predict
+from shelfcast.ml.models import bins_for, fit_prepared, predict
 from shelfcast.ml.params import grid_points
 from shelfcast.ml.preprocess import fit_per_fold
 from shelfcast.operators.aggregates import r2_score
-from shelfcast.operators.ordering import assign_folds
+from shelfcast.operators.ordering import cut_folds, in_order
+from shelfcast.session import materialized
 
 # Sorted position of a training row. Equal holiday copies of a sale tie, and are equal rows.
 ROW_ORDER = ["date", "store_nbr", "family", "type"]
@@ -28,22 +29,20 @@ class SearchResult:
     best_score: float
     points: list[dict]
     fold_scores: list[list[float]]  # per grid point, per fold
+    max_bins: int  # split candidates per feature that trees could use
 
     @property
     def mean_scores(self) -> list[float]:
         return [sum(scores) / len(scores) for scores in self.fold_scores]
 
 
-def _score_fold(
-    train: DataFrame, valid: DataFrame, prepared: PipelineModel, model: str, points: list[dict], seed: int
-) -> list[float]:
-    """R2 on ``valid`` of every grid point fitted on ``train``, all scored in one pass."""
-    scored = prepared.transform(valid).select("features", "label")
-    names = [f"prediction_{number}" for number in range(len(points))]
-    for name, point in zip(names, points):
-        fitted = fit_prepared(train, prepared, model, point, seed).stages[-1]
-        scored = predict(fitted, scored).withColumnRenamed("prediction", name)
-    return list(scored.agg(*[r2_score("label", name).alias(name) for name in names]).first())
+def _score(
+    train: DataFrame, valid: DataFrame, prepared: PipelineModel, model: str, point: dict, seed: int, max_bins: int
+) -> float:
+    """R2 on ``valid`` of one grid point fitted on ``train``."""
+    fitted = fit_prepared(train, prepared, model, point, seed, max_bins).stages[-1]
+    scored = predict(fitted, prepared.transform(valid).select("features", "label"))
+    return scored.agg(r2_score("label", "prediction")).first()[0]
 
 
 def grid_search(
@@ -56,29 +55,34 @@ def grid_search(
     parallelism: int = 5,
     seed: int = 42,
     order_by: Sequence[str] = ROW_ORDER,
+    max_bins: int | None = None,
 ) -> SearchResult:
     """Fits every grid point on every fold, picks the best mean R2 and refits it on all rows.
 
     ``df`` has the feature columns, ``label`` and the ``order_by`` columns. Folds are contiguous in
     that order, and the preprocessor never sees the held-out one. The first grid point wins a tie.
-    A failing fit raises. ``parallelism`` is the number of folds worked on at the same time, so that
-    one fold's short steps do not idle the cluster.
+    A failing fit raises. ``parallelism`` is the number of fits, of any fold and point, worked on at
+    the same time. ``max_bins`` is as in ``fit_model``. The sorted rows are stored for the time of
+    the search only.
     """
     points = grid_points(model, grid)
-    rows = assign_folds(df, order_by, folds)
-    *per_fold, on_all = fit_per_fold(rows, folds, num_strategy, cat_strategy)
-
-    def score(fold: int) -> list[float]:
-        train, valid = rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)
-        return _score_fold(train, valid, per_fold[fold], model, points, seed)
-
-    with ThreadPool(min(parallelism, folds)) as pool:
-        by_fold = pool.map(inheritable_thread_target(df.sparkSession)(score), range(folds), chunksize=1)
-    fold_scores = [list(scores) for scores in zip(*by_fold)]
-    means = [sum(scores) / folds for scores in fold_scores]
-    best = max(range(len(points)), key=means.__getitem__)
-    refit = fit_prepared(rows, on_all, model, points[best], seed)
-    return SearchResult(refit, points[best], means[best], points, fold_scores)
+    with materialized(in_order(df, order_by), "folds") as stored:
+        cut = cut_folds(stored, folds)
+        *per_fold, on_all = fit_per_fold(cut.rows(), folds, num_strategy, cat_strategy)
+        bins = bins_for(model, stored, max_bins)
+
+        def score(pair: tuple[int, int]) -> float:
+            fold, point = pair
+            return _score(cut.others(fold), cut.held_out(fold), per_fold[fold], model, points[point], seed, bins)
+
+        pairs = [(fold, point) for point in range(len(points)) for fold in range(folds)]
+        with ThreadPool(min(parallelism, len(pairs))) as pool:
+            scores = pool.map(inheritable_thread_target(df.sparkSession)(score), pairs, chunksize=1)
+        fold_scores = [scores[begin:begin + folds] for begin in range(0, len(scores), folds)]
+        means = [sum(values) / folds for values in fold_scores]
+        best = max(range(len(points)), key=means.__getitem__)
+        refit = fit_prepared(cut.rows(), on_all, model, points[best], seed, bins)
+    return SearchResult(refit, points[best], means[best], points, fold_scores, bins)
 
 
 def score_report(spark: SparkSession, result: SearchResult) -> DataFrame:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from collections.abc import Sequence
+from itertools import accumulate
+
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from shelfcast.operators.aggregates import value_counts
 from shelfcast.operators.filters import CATEGORICAL, NUMERIC, fill_zero
+from shelfcast.session import materialized
 
+# Column names the charts offer.
 TRANSACTION_AXES = ["date", "store_nbr", "transactions", "datetime"]
 DAILY_AXES = ["date", "transactions", "7_day_MA", "14_day_MA", "30_day_MA", "60_day_MA"]
 FEATURE_AXES = [*CATEGORICAL, *NUMERIC]
@@ -77,26 +82,22 @@ def pie_data(df: DataFrame, column: str) -> DataFrame:
 
 
 def histogram_data(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
-    """Text: ``value, count``. Numbers: ``bin, low, high, count`` for equal-width bins, empty ones included.
+    """Text: ``value, count``, missing texts as NULL like in ``bar_data``. Numbers: ``bin, low, high, count`` for equal-width bins, empty ones included.
 
     The last bin includes its upper edge. If all values are equal they are in bin 1.
     """
     _require(df, column)
     if not isinstance(df.schema[column].dataType, T.NumericType):
-        return (
-            df.filter(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("value"))
-            .agg(F.count(F.lit(1)).alias("count"))
-        )
+        return df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("count"))
     if bins < 1:
         raise ValueError("bins must be at least 1")
-    values = fill_zero(df.select(F.col(column).cast("double").alias("value")), ["value"])
+    values = _counts_per_value(df, column)
     span = values.agg(F.struct(F.min("value").alias("low"), F.max("value").alias("high"))).scalar()
     low, high = span.getField("low"), span.getField("high")
     bucket = F.width_bucket("value", low, high, F.lit(bins))
     counts = (
         values.groupBy(F.least(F.coalesce(bucket, F.lit(1)), F.lit(bins)).cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("count"))
+        .agg(F.sum("rows").alias("count"))
     )
     width = (high - low) / bins
     edges = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
@@ -108,19 +109,56 @@ def histogram_data(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     )
 
 
+def _counts_per_value(df: DataFrame, column: str) -> DataFrame:
+    """``value, rows``: equal numbers merged, missing ones as 0."""
+    values = fill_zero(df.select(F.col(column).cast("double").alias("value")), ["value"])
+    return values.groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _values_at(counts: DataFrame, shares: Sequence[float]) -> list[float | None]:
+    """Values at shares of the sorted rows, interpolated linearly between neighbouring rows.
+
+    Values are sorted over all tasks; row counts per task tell in which ones the wanted rows are,
+    and only those rows are collected.
+    """
+    ordered = counts.repartitionByRange("value").select("value", "rows", F.spark_partition_id().alias("task"))
+    with materialized(ordered, "box-values") as stored:
+        totals = stored.groupBy("task").agg(F.sum("rows").alias("rows")).orderBy("task").collect()
+        total = sum(row["rows"] for row in totals)
+        if not total:
+            return [None for _ in shares]
+        wanted = [share * (total - 1) for share in shares]
+        places = sorted({place for at in wanted for place in (int(at), min(int(at) + 1, total - 1))})
+        begins = dict(zip([row["task"] for row in totals], accumulate([row["rows"] for row in totals], initial=0)))
+        hits = {task: [place for place in places if begin <= place < begin + row["rows"]]
+                for row in totals for task, begin in [(row["task"], begins[row["task"]])]}
+        before = F.sum("rows").over(W.partitionBy("task").orderBy("value")) - F.col("rows")
+        running = stored.filter(F.col("task").isin([task for task, own in hits.items() if own])).withColumn("before", before)
+        inside = F.lit(False)
+        for task, own in hits.items():
+            for place in own:
+                offset = place - begins[task]
+                inside = inside | ((F.col("task") == task) & (F.col("before") <= offset) & (offset < F.col("before") + F.col("rows")))
+        found = running.filter(inside).select("task", "before", "rows", "value").collect()
+    at_place = {
+        place: row["value"] for row in found for place in places
+        if row["before"] <= place - begins[row["task"]] < row["before"] + row["rows"]
+    }
+    return [
+        at_place[int(at)] + (at - int(at)) * (at_place[min(int(at) + 1, total - 1)] - at_place[int(at)]) for at in wanted
+    ]
+
+
 def box_data(df: DataFrame, column: str) -> DataFrame:
     """One row: ``whisker_low, q1, median, q3, whisker_high, outliers``.
 
     Quartiles are exact, interpolated linearly. Whiskers end at the last value within 1.5 times the
     interquartile range. Rows are first merged into counts per distinct value, so a value held by a
-    third of the rows costs as much as any other. The quartiles then hold the distinct values, which
-    for the feature columns are flags, store numbers, or one price per date.
+    third of the rows costs as much as any other, and no task holds all values.
     """
     _require(df, column, numeric=True)
-    values = fill_zero(df.select(F.col(column).cast("double").alias("value")), ["value"])
-    counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
-    quartiles = counts.agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("rows"))).scalar()
-    q1, median, q3 = (quartiles.getItem(i) for i in range(3))
+    counts = _counts_per_value(df, column)
+    q1, median, q3 = (F.lit(value).cast("double") for value in _values_at(counts, [0.25, 0.5, 0.75]))
     reach = (q3 - q1) * 1.5
     inside = F.col("value").between(q1 - reach, q3 + reach)
     return counts.agg(

@@ -10,6 +10,7 @@ from shelfcast.functions.columns import clip_at_zero, holiday_flag, month_day, p
 from shelfcast.functions.dates import year_span
 
 NUMERIC = ["store_nbr", "onpromotion", "dcoilwtico", "is_holiday"]
+# The feature columns.
 CATEGORICAL = ["family"]
 
 

@@ -9,7 +9,10 @@ the calendar rather than by its row count, and its measured size picks the plan:
 
 1. all its rows fit: broadcast them; the hash join does the fan-out.
 2. only its distinct rows fit: broadcast those, and repeat each match on the sales side.
-3. neither: a shuffle join on date; the adaptive skew join splits a hot date.
+3. neither: a shuffle join on date and a salt. There are few dates, so by date alone few tasks would
+   have work; each date is spread over ``SALTS`` tasks, and the other side is repeated for each.
+
+The other side is measured without being kept, so every plan reads it as it is when it runs.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from shelfcast.operators.copies import merge_copies, repeat_copies
 from shelfcast.operators.filters import with_holiday_flag, with_promo_flag
 
 BROADCAST_BYTES = 32 * 1024 * 1024
+SALTS = 16  # tasks per date in the shuffle join
 ROW_OVERHEAD = 24  # bytes per broadcast row besides its text
 
 
@@ -50,14 +54,23 @@ def left_join_on_date(
 ) -> DataFrame:
     """``df`` left-joined with ``columns`` of ``other`` on ``date``."""
     other = other.select("date", *columns)
-    compact = merge_copies(other).persist()
+    compact = merge_copies(other)
     size = _measure(compact, columns)
     if size.full <= broadcast_bytes:
         return df.join(F.broadcast(repeat_copies(compact).drop("copy")), "date", "left")
     if size.distinct <= broadcast_bytes:
         return repeat_copies(df.join(F.broadcast(compact), "date", "left")).drop("copy")
-    compact.unpersist()
-    return df.join(other.hint("merge"), "date", "left")
+    salt = fresh_name(df.columns, "salt")
+    dealt = df.withColumn(salt, F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    repeated = other.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(repeated.hint("merge"), ["date", salt], "left").drop(salt)
+
+
+def fresh_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores in front until it is none of ``columns``."""
+    while name in columns:
+        name = "_" + name
+    return name
 
 
 def join_oil(df: DataFrame, oil: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:

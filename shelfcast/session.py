@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,12 +20,19 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
 }
 
+# Added on a cluster: shuffles start wide, and adaptive execution merges what is small.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+}
+
 
 def build_session(app: str = "shelfcast", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    wide = CLUSTER_SETTINGS if master and not master.startswith("local") else {}
+    for key, value in {**SETTINGS, **wide, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -32,13 +41,15 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
     A temporary folder is set up only for a local master, where driver and executors are one
-    process; on a cluster a missing setting is an error. Also points the SparkContext there, so
+    process; on a cluster a missing setting, or one that names each machine's own disk, is an error.
+    Also points the SparkContext there, so
     that iterative ML fits cut their lineage in the same place.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        _refuse_local(context.master, configured)
         if current is None:
             context.setCheckpointDir(configured)
         return configured.rstrip("/")
@@ -50,6 +61,11 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def _refuse_local(master: str, folder: str) -> None:
+    if folder.startswith("file:") and not master.startswith("local"):
+        raise RuntimeError(f"spark.checkpoint.dir is {folder}, a folder of each machine; name one all executors share")
+
+
 def new_shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
@@ -63,3 +79,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_shared_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def materialized(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``materialize`` for the length of a block; the files are deleted at its end.
+
+    Nothing that leaves the block may still read them.
+    """
+    path = new_shared_path(df.sparkSession, label)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        delete(df.sparkSession, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder from whatever file system it is in."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

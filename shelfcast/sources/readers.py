@@ -13,6 +13,33 @@ NULL_TOKENS = [
 ]
 
 
+SURPLUS = "cells beyond the header"
+
+
+def _csv_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All cells as text, by the header of the first file, without any header rows.
+
+    A row with more cells than the header is an error, and so is a file whose header has the same
+    names in another order; with other names its header fails the casts. Missing cells at the end of
+    a row are NULL.
+    """
+    names = spark.read.options(header=True, escape='"').csv(path).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, SURPLUS]])
+    rows = spark.read.schema(schema).options(header=False, escape='"').csv(path)
+    cells = [F.col(f"`{name}`") for name in names]
+    same = F.lit(True)
+    for name, cell in zip(names, cells):
+        same = same & cell.eqNullSafe(F.lit(name))
+    moved = F.array_sort(F.array(*[F.coalesce(cell, F.lit("")) for cell in cells])) == F.array_sort(F.array(*map(F.lit, names)))
+    surplus = F.col(f"`{SURPLUS}`").isNotNull()
+    fault = F.when(surplus, F.lit("a row has more cells than the header")).when(
+        moved, F.lit("files have the same columns in different orders")
+    )
+    message = F.concat(F.lit(f"{path}: "), fault)
+    checked = [F.when(fault.isNotNull(), F.raise_error(message).cast("string")).otherwise(cell).alias(name) for name, cell in zip(names, cells)]
+    return rows.filter(surplus | ~same).select(*checked)
+
+
 def _typed_cell(field: T.StructField) -> Column:
     """Cell text as the declared type. ANSI casts raise on text that does not parse."""
     cell = F.col(f"`{field.name}`")
@@ -35,6 +62,8 @@ def read_table(
 ) -> DataFrame:
     """Read one input with a declared schema; columns are matched by header name.
 
+    A CSV folder's files must have one header; rows with more cells than it are an error.
+
     ``fmt`` is ``csv`` or ``parquet``, taken from the path's ending if not given (CSV by default).
     Quoted line breaks are not supported, so that large files stay splittable.
     """
@@ -42,7 +71,7 @@ def read_table(
     if fmt == "parquet":
         raw = spark.read.parquet(path)
     elif fmt == "csv":
-        raw = spark.read.options(header=True, escape='"').csv(path)
+        raw = _csv_rows(spark, path)
     else:
         raise ValueError(f"unknown format {fmt!r}: use 'csv' or 'parquet'")
 

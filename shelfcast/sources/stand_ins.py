@@ -82,11 +82,14 @@ def train(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
     return sales(spark, sf_dir, (start, min(end, TEST_START - timedelta(days=1))))
 
 
+TEST_BOUNDS = (TEST_START, date(9999, 1, 1))
+
+
 def test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales(spark, sf_dir, (TEST_START, date(9999, 1, 1))).drop("sales")
+    return sales(spark, sf_dir, TEST_BOUNDS).drop("sales")
 
 
-def oil(spark: SparkSession, sf_dir: str) -> DataFrame:
+def oil(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
     """Weekdays only, and present without a price on the first of a month.
 
     The mean order total in thousands, from an exact sum of cents, so that every engine and every
@@ -94,7 +97,7 @@ def oil(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     cents = F.sum(F.round(F.col("o_totalprice") * 100).cast("long"))
     daily = (
-        _orders(spark, sf_dir, None)
+        _orders(spark, sf_dir, bounds)
         .filter(F.dayofweek("date").between(2, 6))
         .groupBy("date")
         .agg((cents.cast("double") / (F.count(F.lit(1)) * 100_000).cast("double")).alias("price"))
@@ -102,10 +105,10 @@ def oil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.select("date", F.when(F.dayofmonth("date") != 1, F.col("price")).alias("dcoilwtico"))
 
 
-def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
+def holidays(spark: SparkSession, sf_dir: str, bounds: Bounds = None) -> DataFrame:
     """Some dates have several rows."""
     return (
-        _orders(spark, sf_dir, None)
+        _orders(spark, sf_dir, bounds)
         .filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderkey") % 10 == 0))
         .select("date", F.col("o_orderstatus").alias("type"))
     )

@@ -1,5 +1,7 @@
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from conftest import day
 from shelfcast.operators import charts
@@ -68,7 +70,8 @@ def test_histogram_numbers(features):
 def test_histogram_constant_and_text(spark, features):
     constant = spark.createDataFrame([(5,), (5,)], "n int")
     assert [t[3] for t in rows(charts.histogram_data(constant, "n", 3), "bin")] == [2, 0, 0]
-    assert rows(charts.histogram_data(features, "family"), "value") == [("A", 2), ("B", 2)]
+    assert rows(charts.histogram_data(features, "family"), "value") == [(None, 1), ("A", 2), ("B", 2)]
+    assert rows(charts.bar_data(features, "family", "store_nbr"), "x") == [(None, 3), ("A", 3), ("B", 56)]
 
 
 def test_box_matches_numpy(spark):
@@ -83,3 +86,23 @@ def test_box_matches_numpy(spark):
 def test_box_refuses_text(features):
     with pytest.raises(ValueError, match="not numeric"):
         charts.box_data(features, "family")
+
+
+def test_box_of_nothing_and_of_one_value(spark):
+    empty = charts.box_data(spark.createDataFrame([], "n int"), "n").first()
+    assert tuple(empty) == (None, None, None, None, None, 0)
+    assert tuple(charts.box_data(spark.createDataFrame([(5,)] * 3, "n int"), "n").first()) == (5, 5, 5, 5, 5, 0)
+
+
+@settings(max_examples=15, deadline=None)
+@given(values=st.lists(st.integers(-20, 20), min_size=1, max_size=40))
+def test_box_quartiles_are_exact(spark, values):
+    got = charts.box_data(spark.createDataFrame([(v,) for v in values], "n int").repartition(3), "n").first()
+    assert [got["q1"], got["median"], got["q3"]] == pytest.approx(np.percentile(values, [25, 50, 75]).tolist())
+
+
+def test_charts_gather_no_rows_in_one_task(spark):
+    df = spark.range(1000).select((F.col("id") % 50).cast("int").alias("n"))
+    for chart in (charts.histogram_data(df, "n"), charts.box_data(df, "n")):
+        for part in chart._jdf.queryExecution().executedPlan().toString().split("Exchange SinglePartition")[1:]:
+            assert "partial_" in part.splitlines()[1]

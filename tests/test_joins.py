@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import column, day
 from shelfcast.operators import joins
 from shelfcast.operators.joins import enrich, join_holidays, join_oil, left_join_on_date
+from shelfcast.sources import readers
 
 # Room for everything, for distinct rows only, for nothing.
 LIMITS = [joins.BROADCAST_BYTES, 400, 0]
@@ -83,27 +84,45 @@ def test_many_copies_and_a_hot_date(spark, limit):
     assert got == expected
 
 
-def test_shuffle_fallback_splits_a_hot_date(spark):
+def test_shuffle_join_spreads_a_hot_date(spark):
     sales = spark.range(0, 60_000, 1, 8).withColumn(
         "date", F.when(F.col("id") % 3 == 0, F.lit("2017-01-01").cast("date"))
         .otherwise(F.date_add(F.lit("2017-01-02").cast("date"), (F.col("id") % 300).cast("int")))
-    ).withColumn("payload", F.repeat(F.lit("x"), 20))
+    )
     other = spark.range(300).select(F.date_add(F.lit("2017-01-01").cast("date"), F.col("id").cast("int")).alias("date"), F.lit("t").alias("type"))
-    settings = {
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    }
+    joined = left_join_on_date(sales, other, ["type"], 0)
+    assert joined.count() == 60_000 and joined.columns == ["date", "id", "type"]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        hot = joined.filter("date = '2017-01-01'").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(hot) >= 4
+
+
+@pytest.mark.parametrize("limit", LIMITS)
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_a_rewritten_file_is_seen(spark, sales, tmp_path, fmt, limit):
+    path = f"{tmp_path}/oil.{fmt}"
+    for price in (50.0, 99.0):
+        table = spark.createDataFrame([(day("2017-01-06"), price)], "date date, dcoilwtico double")
+        table.write.mode("overwrite").format(fmt).option("header", True).save(path)
+        assert column(join_oil(sales, readers.read_oil(spark, path), limit), "dcoilwtico", "id") == [price, None, None]
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_shuffle_join_uses_more_tasks_than_dates(spark):
+    sales = spark.range(0, 9000, 1, 8).withColumn("date", F.date_add(F.lit("2017-01-01").cast("date"), (F.col("id") % 3).cast("int")))
+    other = spark.range(3).select(F.date_add(F.lit("2017-01-01").cast("date"), F.col("id").cast("int")).alias("date"), F.lit("t").alias("type"))
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
         joined = left_join_on_date(sales, other, ["type"], 0)
-        assert joined.count() == 60_000
-        joined.write.format("noop").mode("overwrite").save()
-        rows = joined.collect()
-        assert len(rows) == 60_000
-        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        tasks = joined.groupBy(F.spark_partition_id().alias("task")).count().collect()
     finally:
-        for key in settings:
-            spark.conf.unset(key)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(row["count"] for row in tasks) == 9000
+    assert len(tasks) > 12 and max(row["count"] for row in tasks) < 1500

@@ -153,3 +153,26 @@ def test_train_select_forecast(spark):
     assert output.columns == ["id", "sales"]
     assert column(output, "id", "id") == [1, 2, 2]
     assert column(forecast(result.best_model, test, oil, holidays, dedupe=True), "id", "id") == [1, 2]
+
+
+def test_trees_split_between_all_stores(spark):
+    """600 stores with a label of their own each: a full tree reproduces every row."""
+    rows = spark.range(600).select(
+        F.lit("A").alias("family"), F.col("id").cast("int").alias("store_nbr"), F.lit(0).alias("onpromotion"),
+        F.lit(50.0).alias("dcoilwtico"), F.lit(0).alias("is_holiday"), (F.col("id") * 3).cast("double").alias("label"),
+    )
+    point = grid_points("decision", {"max_features": [None]})[0]
+    missed = predict(fit_model(rows, "decision", point), rows).filter("abs(prediction - label) > 1e-6").count()
+    assert missed == 0
+    coarse = fit_model(rows, "decision", point, max_bins=32)
+    assert predict(coarse, rows).filter("abs(prediction - label) > 1e-6").count() > 0
+
+
+def test_unlimited_trees_are_not_cut_off_in_silence(spark):
+    """Labels that halve the rest at every split grow a tree deeper than there can be."""
+    rows = spark.range(60).select(
+        F.lit("A").alias("family"), F.col("id").cast("int").alias("store_nbr"), F.lit(0).alias("onpromotion"),
+        F.lit(50.0).alias("dcoilwtico"), F.lit(0).alias("is_holiday"), F.pow(F.lit(4.0), F.col("id")).alias("label"),
+    )
+    with pytest.raises(ValueError, match="max_depth"):
+        fit_model(rows, "decision", grid_points("decision", {"max_features": [None]})[0])

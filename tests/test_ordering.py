@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import column, day
-from shelfcast.operators.ordering import assign_folds, fold_starts, sort_by_date
+from shelfcast.operators.ordering import assign_folds, cut_folds, fold_starts, in_order, sort_by_date
+from shelfcast.session import materialize, materialized, new_shared_path
 
 
 def test_fold_sizes():
@@ -56,3 +57,26 @@ def test_sort_by_date(spark):
     rows = [("2017-01-02", 1), ("2017-01-01", 2), ("2017-01-01", 1)]
     df = spark.createDataFrame([(day(d), s) for d, s in rows], "date date, store_nbr int")
     assert [tuple(r) for r in sort_by_date(df, "store_nbr").collect()] == sorted((day(d), s) for d, s in rows)
+
+
+def test_fold_parts_are_ranges_that_reach_the_scan(spark):
+    df = spark.range(40).select(((F.col("id") * 7) % 40).alias("n")).repartition(4)
+    folds = cut_folds(materialize(in_order(df, ["n"]), "folds"), 5)
+    by_fold = {row["fold"]: row["ns"] for row in folds.rows().groupBy("fold").agg(F.sort_array(F.collect_list("n")).alias("ns")).collect()}
+    for fold in range(5):
+        assert column(folds.held_out(fold), "n", "n") == by_fold[fold]
+        assert column(folds.others(fold), "n", "n") == sorted(n for other, ns in by_fold.items() if other != fold for n in ns)
+        for part in (folds.held_out(fold), folds.others(fold)):
+            plan = part._jdf.queryExecution().executedPlan().toString()
+            assert "task" in plan.split("PushedFilters: ")[1].split("]")[0]
+
+
+def test_stored_rows_are_deleted_after_their_block(spark, tmp_path):
+    import os
+
+    with materialized(spark.range(3), "short-lived") as rows:
+        assert rows.count() == 3
+        folder = os.path.dirname(rows.inputFiles()[0].removeprefix("file://"))
+        assert os.path.exists(folder)
+    assert not os.path.exists(folder)
+    assert new_shared_path(spark, "x") != new_shared_path(spark, "x")

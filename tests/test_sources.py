@@ -73,3 +73,29 @@ def test_predictions_are_overwritten_and_every_part_has_a_header(spark, tmp_path
     assert sorted(map(tuple, back.collect())) == [(i, i / 8) for i in range(100)]
     parts = list((tmp_path / "predictions").glob("part-*.csv"))
     assert len(parts) == 4 and all(p.read_text().startswith("id,sales\n") for p in parts)
+
+
+def test_files_with_other_column_orders_are_refused(spark, tmp_path):
+    write(tmp_path / "a.csv", "date,store_nbr,transactions\n2017-01-01,1,10\n")
+    write(tmp_path / "b.csv", "date,transactions,store_nbr\n2017-01-02,20,2\n")
+    with pytest.raises(Exception, match="different orders"):
+        readers.read_transactions(spark, str(tmp_path)).collect()
+
+
+def test_files_with_the_same_header_are_read_together(spark, tmp_path):
+    write(tmp_path / "a.csv", "date,store_nbr,transactions\n2017-01-01,1,10\n")
+    write(tmp_path / "b.csv", "date,store_nbr,transactions\n2017-01-02,2\n")
+    rows = readers.read_transactions(spark, str(tmp_path)).orderBy("date").collect()
+    assert [tuple(row)[1:] for row in rows] == [(1, 10), (2, None)]
+
+
+def test_surplus_cells_are_refused(spark, tmp_path):
+    path = write(tmp_path / "oil.csv", "date,dcoilwtico\n2017-01-03,1,234.5\n")
+    with pytest.raises(Exception, match="more cells"):
+        readers.read_oil(spark, path).collect()
+
+
+def test_quoted_line_breaks_are_refused(spark, tmp_path):
+    path = write(tmp_path / "holidays.csv", 'date,type,description\n2012-03-02,Holiday,"two\nlines"\n')
+    with pytest.raises(Exception):
+        readers.read_holidays(spark, path).collect()
