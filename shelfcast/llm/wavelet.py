@@ -178,8 +178,8 @@ def write_shards(
 ) -> DataFrame:
     """Shards of all documents in ascending order of integer ``doc_id``, stored in the shared folder.
 
-    Rows: ``task, shard, start_in_task, n_ids, data``. A shard ends with the document that brings it
-    to ``shard_ids`` ids.
+    Rows: ``task, shard, start_in_task, n_ids, data``. A shard ends with the slice of documents, of
+    at most as many bytes, that brings it to ``shard_ids`` ids.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -202,7 +202,7 @@ def write_shards(
             )
 
         for batch in batches:
-            for begin, end in slices(batch.column(1), 2 << 20):
+            for begin, end in slices(batch.column(1), min(2 << 20, shard_ids)):
                 ids, counts = known.encode(batch.column(1).slice(begin, end - begin))
                 ids = np.insert(ids, np.cumsum(counts), end_id)
                 keys += batch.column(0).slice(begin, end - begin).to_pylist()
