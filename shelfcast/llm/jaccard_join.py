@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.llm.columns import fresh, settle, ship
 from shelfcast.llm.encoding import slices
-from shelfcast.llm.tables import stored
+from shelfcast.llm.tables import Put, scratch, stored
 from shelfcast.llm.word_hashes import mixed, runs, words_of
 
 SHINGLE = 5
@@ -95,7 +95,7 @@ def _text_batches(batches, place: int):
             yield part, [text or b"" for text in part.column(place).cast(pa.binary()).to_pylist()]
 
 
-def _described(docs: DataFrame) -> DataFrame:
+def _described(docs: DataFrame, put: Put) -> DataFrame:
     """``doc_id, text_hash``, identity, size and signature of each row's set."""
 
     def describe(batches):
@@ -114,14 +114,14 @@ def _described(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text_hash bigint, one bigint, two bigint, size int, bits binary"
-    return stored(docs.select("doc_id", "text", "text_hash").mapInArrow(describe, schema), "shingle-sets")
+    return put(docs.select("doc_id", "text", "text_hash").mapInArrow(describe, schema), "shingle-sets")
 
 
-def _nodes(described: DataFrame) -> DataFrame:
+def _nodes(described: DataFrame, put: Put) -> DataFrame:
     """``node``, its set's identity, size and signature, and one row that has the text."""
     groups = described.filter("size > 0 AND doc_id IS NOT NULL").groupBy("one", "two")
     picked = groups.agg(F.min(F.struct("doc_id", "text_hash", "size", "bits")).alias("pick"))
-    return stored(picked.select(F.monotonically_increasing_id().alias("node"), "one", "two", "pick.*"), "shingle-nodes")
+    return put(picked.select(F.monotonically_increasing_id().alias("node"), "one", "two", "pick.*"), "shingle-nodes")
 
 
 def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -149,16 +149,16 @@ def _prefixes(texts: DataFrame, common: np.ndarray) -> DataFrame:
     return texts.select("node", "text").mapInArrow(find, "shingle bigint, size int, node bigint")
 
 
-def _common(prefixes: DataFrame) -> np.ndarray:
+def _common(prefixes: DataFrame, put: Put) -> np.ndarray:
     """Sorted shingles of tiles with many rows: at most ``MOST_COMMON`` of them, whatever the input."""
-    counts = stored(prefixes.groupBy("shingle").count().filter(F.col("count") > COMMON_TILE), "common-shingles")
+    counts = put(prefixes.groupBy("shingle").count().filter(F.col("count") > COMMON_TILE), "common-shingles")
     rows = counts.agg(F.sum("count")).first()[0] or 0
     least = max(COMMON_TILE, rows // MOST_COMMON)
     found = counts.filter(F.col("count") > least).select("shingle").toArrow().column(0).to_numpy()
     return np.sort(found.view(np.uint64))
 
 
-def _tiles(prefixes: DataFrame) -> DataFrame:
+def _tiles(prefixes: DataFrame, put: Put) -> DataFrame:
     """Rows of tiles with several nodes: ``shingle, size, node, leader``, the leader of the size band."""
 
     def lead(batches):
@@ -166,7 +166,7 @@ def _tiles(prefixes: DataFrame) -> DataFrame:
         for batch in batches:
             out = [[], [], [], []]
 
-            def put(row, first):
+            def emit(row, first):
                 for column, value in zip(out, (*row, first)):
                     column.append(value)
 
@@ -174,10 +174,10 @@ def _tiles(prefixes: DataFrame) -> DataFrame:
                 shingle, size, node = row
                 if held and held[0] == shingle:
                     if not held[3]:
-                        put(held[:3], leader[1])
+                        emit(held[:3], leader[1])
                     if 3 * size > 4 * leader[0]:
                         leader = size, node
-                    put(row, leader[1])
+                    emit(row, leader[1])
                     held = *row, True
                 else:
                     held, leader = (*row, False), (size, node)
@@ -187,7 +187,7 @@ def _tiles(prefixes: DataFrame) -> DataFrame:
             )
 
     ordered = prefixes.repartition("shingle").sortWithinPartitions("shingle", "size", "node")
-    return stored(ordered.mapInArrow(lead, "shingle bigint, size int, node bigint, leader bigint"), "shingle-tiles")
+    return put(ordered.mapInArrow(lead, "shingle bigint, size int, node bigint, leader bigint"), "shingle-tiles")
 
 
 def _may_link(total: np.ndarray, differing: np.ndarray) -> np.ndarray:
@@ -222,13 +222,13 @@ def _passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.filter(may("size_a", "size_b", "bits_a", "bits_b")).select("a", "b")
 
 
-def _across(tiles: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+def _across(tiles: DataFrame, nodes: DataFrame, labels: DataFrame, put: Put) -> DataFrame:
     """Pairs of one tile in different components that pass by size and signature."""
     named = tiles.select("shingle", "node").join(labels, "node", "left").select(
         "shingle", "node", F.coalesce("label", "node").alias("label")
     )
     mixed_tiles = named.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    rows = stored(named.join(mixed_tiles.select("shingle"), "shingle"), "mixed-tiles")
+    rows = put(named.join(mixed_tiles.select("shingle"), "shingle"), "mixed-tiles")
     full = rows.join(nodes.select("node", "size", "bits"), "node").select("shingle", "size", "node", "label", "bits")
 
     def compare(batches):
@@ -285,14 +285,14 @@ def _compared(table: pa.Table, begins: np.ndarray, ends: np.ndarray) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], ["a", "b"])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, put: Put) -> DataFrame:
     """Pairs ``a, b`` that link, by intersection of their whole sets.
 
     Members ``b`` travel to the text of ``a``. An ``a`` with many members is repeated for parts of them.
     """
-    pairs = stored(pairs, "passing-pairs")
+    pairs = put(pairs, "passing-pairs")
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    known = stored(texts.join(needed, "node"), "passing-texts")
+    known = put(texts.join(needed, "node"), "passing-texts")
     copies = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("copies"))
     heads = copies.join(known.withColumnRenamed("node", "a"), "a").select(
         "a", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(None).cast("long").alias("b"), "text"
@@ -318,7 +318,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     ordered = heads.unionByName(members).repartition("a", "copy").sortWithinPartitions("a", "copy", "b")
-    return stored(ordered.mapInArrow(verify, "a bigint, b bigint"), "verified-links")
+    return put(ordered.mapInArrow(verify, "a bigint, b bigint"), "verified-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -343,19 +343,24 @@ def components(links: DataFrame) -> DataFrame:
 def similar_components(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, size, component_id`` of every row of ``docs`` (``doc_id, text, text_hash``)."""
     ship(docs.sparkSession)
-    described = _described(docs)
-    nodes = _nodes(described)
+    with scratch(docs.sparkSession) as put:
+        return stored(_labelled(docs, put), "components")
+
+
+def _labelled(docs: DataFrame, put: Put) -> DataFrame:
+    described = _described(docs, put)
+    nodes = _nodes(described, put)
     texts = _texts_of(docs.dropDuplicates(["doc_id", "text_hash"]) if _repeated(described) else docs, nodes)
-    common = _common(_prefixes(texts, np.zeros(0, np.uint64)))
-    tiles = _tiles(_prefixes(texts, common))
+    common = _common(_prefixes(texts, np.zeros(0, np.uint64)), put)
+    tiles = _tiles(_prefixes(texts, common), put)
     led = tiles.filter("node <> leader").select(
         F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")
     ).distinct()
-    first = _verified(_passing(led, nodes), texts)
-    second = _verified(_across(tiles, nodes, components(first)), texts)
+    first = _verified(_passing(led, nodes), texts, put)
+    second = _verified(_across(tiles, nodes, components(first), put), texts, put)
     labels = components(first.union(second))
     placed = described.join(nodes.select("one", "two", "node"), ["one", "two"], "left").join(labels, "node", "left")
-    placed = stored(placed.select("doc_id", "text_hash", "size", F.coalesce("label", "node").alias("label")), "labelled")
+    placed = put(placed.select("doc_id", "text_hash", "size", F.coalesce("label", "node").alias("label")), "labelled")
     smallest = placed.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("smallest"))
     return placed.join(smallest, "label", "left").select(
         "doc_id", "text_hash", "size",

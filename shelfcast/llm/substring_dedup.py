@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.llm.columns import fresh, ship
 from shelfcast.llm.encoding import slices
-from shelfcast.llm.tables import stored
+from shelfcast.llm.tables import Put, scratch, stored
 from shelfcast.llm.word_hashes import Words, runs, sliding, words_of
 
 LENGTH = 35
@@ -97,14 +97,14 @@ def _same_document(one: DataFrame, two: DataFrame) -> Column:
     return one["doc_id"].eqNullSafe(two["doc_id"]) & (one["text_hash"] == two["text_hash"])
 
 
-def _candidates(docs: DataFrame, length: int) -> DataFrame:
+def _candidates(docs: DataFrame, length: int, put: Put) -> DataFrame:
     """Documents with an anchor that occurs twice: ``base, text, places`` and the document's key.
 
     ``base`` numbers the words of all candidates: a document's words are ``base``, ``base + 1``, ...
     """
     anchors = _anchors(docs, length)
     repeated = anchors.groupBy("anchor").count().filter("count > 1").select("anchor")
-    places = stored(
+    places = put(
         anchors.join(repeated, "anchor").groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("place")).alias("places")),
         "anchor-places",
     )
@@ -123,7 +123,7 @@ def _candidates(docs: DataFrame, length: int) -> DataFrame:
             )
             base += int(ends[-1]) if len(ends) else 0
 
-    return stored(joined.mapInArrow(number, schema), "candidate-documents")
+    return put(joined.mapInArrow(number, schema), "candidate-documents")
 
 
 def _window_hashes(candidates: DataFrame, length: int) -> DataFrame:
@@ -313,15 +313,20 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     ``docs`` has ``doc_id, text, text_hash``.
     """
-    candidates = _candidates(docs, length)
+    with scratch(docs.sparkSession) as put:
+        return _found_spans(docs, length, put)
+
+
+def _found_spans(docs: DataFrame, length: int, put: Put) -> DataFrame:
+    candidates = _candidates(docs, length, put)
     windows = _window_hashes(candidates, length)
-    references = stored(
+    references = put(
         windows.groupBy("one", "two")
         .agg(F.count(F.lit(1)).alias("times"), F.min("base").alias("ref_base"), F.min(F.col("base") + F.col("start")).alias("ref_word"))
         .filter("times > 1").drop("times"),
         "window-references",
     )
-    segments = stored(_segments(windows, references), "segments")
+    segments = put(_segments(windows, references), "segments")
     own = segments.filter("base = ref_base AND start = ref_start")  # all references lie in these
     total = own.agg(F.sum(F.col("windows") + F.lit(length - 1))).first()[0] or 0
     shards = max(1, -(-int(total) // SHARD_WORDS))
@@ -333,7 +338,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         segments.groupBy(shard("ref_base"))
         .agg(F.ceil(F.sum(F.col("windows") + F.lit(length - 1)) / STREAM_WORDS).cast("int").alias("copies"))
     )
-    copies = stored(copies, "shard-copies")
+    copies = put(copies, "shard-copies")
     passages = _passages(own.select("base", "start", "windows", shard("base")), candidates, length)
     parts = _passages(segments.select("base", "start", "windows", shard("ref_base")), candidates, length)
     every = F.explode(F.sequence(F.lit(0), F.col("copies") - 1))

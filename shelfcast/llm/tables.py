@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.session import new_shared_path
+from shelfcast.session import delete, new_shared_path
 
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -24,10 +25,37 @@ def _freeing_shuffles(spark: SparkSession):
             spark.conf.set(FREE_SHUFFLES, before)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read from there; its shuffle files are freed at once."""
+def _written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = new_shared_path(spark, label)
     with _freeing_shuffles(spark):
         df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read from there; its shuffle files are freed at once."""
+    return _written(df, label)[0]
+
+
+Put = Callable[[DataFrame, str], DataFrame]
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Put]:
+    """``stored`` for the length of a block, at whose end the files are deleted.
+
+    What leaves the block must be stored elsewhere.
+    """
+    paths = []
+
+    def put(df: DataFrame, label: str) -> DataFrame:
+        table, path = _written(df, label)
+        paths.append(path)
+        return table
+
+    try:
+        yield put
+    finally:
+        for path in paths:
+            delete(spark, path)
