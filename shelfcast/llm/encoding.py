@@ -18,8 +18,8 @@ import pyarrow.compute as pc
 import regex
 
 # Bounds of a worker's memory. Beyond the first, only the earliest chunks are kept.
-MEMO_CHUNKS = 700_000
-MEMO_KEPT = 450_000
+MEMO_CHUNKS = 1_000_000
+MEMO_KEPT = 700_000
 LONGEST_MEMO = 64  # characters of a chunk that is remembered beyond its batch
 
 # Fixed value: the pattern of a byte-level pre-tokenizer without settings of its own.
