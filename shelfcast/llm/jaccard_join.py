@@ -227,8 +227,9 @@ def _across(tiles: DataFrame, nodes: DataFrame, labels: DataFrame, put: Put) ->
     named = tiles.select("shingle", "node").join(labels, "node", "left").select(
         "shingle", "node", F.coalesce("label", "node").alias("label")
     )
-    mixed_tiles = named.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    rows = put(named.join(mixed_tiles.select("shingle"), "shingle"), "mixed-tiles")
+    several = named.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    # Stored, so that the join reads two plain exchanges and Spark can split a very common shingle.
+    rows = put(named.join(put(several.select("shingle"), "mixed-shingles"), "shingle"), "mixed-tiles")
     full = rows.join(nodes.select("node", "size", "bits"), "node").select("shingle", "size", "node", "label", "bits")
 
     def compare(batches):

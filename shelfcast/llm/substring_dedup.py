@@ -103,7 +103,8 @@ def _candidates(docs: DataFrame, length: int, put: Put) -> DataFrame:
     ``base`` numbers the words of all candidates: a document's words are ``base``, ``base + 1``, ...
     """
     anchors = _anchors(docs, length)
-    repeated = anchors.groupBy("anchor").count().filter("count > 1").select("anchor")
+    # Stored, so that the join reads two plain exchanges and Spark can split a very common anchor.
+    repeated = put(anchors.groupBy("anchor").count().filter("count > 1").select("anchor"), "repeated-anchors")
     places = put(
         anchors.join(repeated, "anchor").groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("place")).alias("places")),
         "anchor-places",
