@@ -38,6 +38,8 @@ COMMON_TILE = 500  # rows from which a tile's shingle is moved to the end of the
 MOST_COMMON = 4_000_000
 MEMBERS = 200  # verified against one copy of a text
 BLOCK = 4096  # nodes of a tile compared with at once
+FEW = 64  # rows up to which tiles are compared together with others
+PAIRS = 100_000  # of such tiles, about, at a time
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -158,33 +160,58 @@ def _common(prefixes: DataFrame, put: Put) -> np.ndarray:
     return np.sort(found.view(np.uint64))
 
 
+def _band_leaders(size: np.ndarray, node: np.ndarray, leader: tuple[int, int] | None) -> tuple[np.ndarray, tuple[int, int]]:
+    """First node of each row's size band, and size and node of the last one; ``size`` is sorted."""
+    found, at = np.empty(len(node), np.int64), 0
+    leader = leader or (int(size[0]), int(node[0]))
+    while True:
+        following = int(np.searchsorted(size, 4 * leader[0] // 3, side="right"))
+        found[at:following] = leader[1]
+        at = max(at, following)
+        if at >= len(node):
+            return found, leader
+        leader = int(size[at]), int(node[at])
+
+
 def _tiles(prefixes: DataFrame, put: Put) -> DataFrame:
     """Rows of tiles with several nodes: ``shingle, size, node, leader``, the leader of the size band."""
 
     def lead(batches):
-        held = leader = None  # the last row, not yet known to share its tile; the band's first row
+        # What is open when a batch ends: the last row's tile, its band's first row, and the row
+        # itself if it is the tile's only one so far.
+        open_tile = leader = single = None
         for batch in batches:
-            out = [[], [], [], []]
-
-            def emit(row, first):
-                for column, value in zip(out, (*row, first)):
-                    column.append(value)
-
-            for row in zip(*(column.to_pylist() for column in batch.columns)):
-                shingle, size, node = row
-                if held and held[0] == shingle:
-                    if not held[3]:
-                        emit(held[:3], leader[1])
-                    if 3 * size > 4 * leader[0]:
-                        leader = size, node
-                    emit(row, leader[1])
-                    held = *row, True
-                else:
-                    held, leader = (*row, False), (size, node)
+            shingle, size, node = (column.to_numpy() for column in batch.columns)
+            if not len(shingle):
+                continue
+            goes_on = int(np.searchsorted(shingle != open_tile, True)) if shingle[0] == open_tile else 0
+            begins = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
+            ends = np.r_[begins[1:], len(shingle)]
+            first = np.repeat(begins, ends - begins)
+            leaders, kept = node[first].copy(), np.repeat(ends - begins, ends - begins) > 1
+            banded = 3 * size[ends - 1].astype(np.int64) > 4 * size[begins].astype(np.int64)
+            if goes_on:
+                leaders[:goes_on], kept[:goes_on] = _band_leaders(size[:goes_on], node[:goes_on], leader)[0], True
+                banded[0] = False
+            for tile in np.flatnonzero(banded & (ends - begins > 1)).tolist():
+                own = slice(begins[tile], ends[tile])
+                leaders[own] = _band_leaders(size[own], node[own], None)[0]
+            extra = [single] if goes_on and single else []
             yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64()))],
+                [
+                    pa.array(np.r_[[row[0] for row in extra], shingle[kept]].astype(np.int64)),
+                    pa.array(np.r_[[row[1] for row in extra], size[kept]].astype(np.int32)),
+                    pa.array(np.r_[[row[2] for row in extra], node[kept]].astype(np.int64)),
+                    pa.array(np.r_[[row[2] for row in extra], leaders[kept]].astype(np.int64)),
+                ],
                 ["shingle", "size", "node", "leader"],
             )
+            last = slice(begins[-1], len(shingle))
+            same = goes_on and len(begins) == 1
+            leader = _band_leaders(size[last], node[last], leader if same else None)[1]
+            alone = not same and last.stop - last.start == 1
+            single = (int(shingle[-1]), int(size[-1]), int(node[-1])) if alone else None
+            open_tile = shingle[-1]
 
     ordered = prefixes.repartition("shingle").sortWithinPartitions("shingle", "size", "node")
     return put(ordered.mapInArrow(lead, "shingle bigint, size int, node bigint, leader bigint"), "shingle-tiles")
@@ -256,11 +283,49 @@ def _across(tiles: DataFrame, nodes: DataFrame, labels: DataFrame, put: Put) ->
     return ordered.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
+def _compared_at_once(size, node, label, bits, begins, ends) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Passing pairs of small tiles, all pairs of a stretch of tiles at a time."""
+    left, right = [], []
+    counts = (ends - begins) * (ends - begins - 1) // 2
+    for part in np.split(np.arange(len(begins)), np.flatnonzero(np.diff(np.cumsum(counts) // PAIRS)) + 1):
+        rows = np.repeat(begins[part], ends[part] - begins[part])
+        rows = rows + np.arange(len(rows)) - np.repeat(np.cumsum(ends[part] - begins[part]) - (ends[part] - begins[part]), ends[part] - begins[part])
+        later = np.repeat(ends[part], ends[part] - begins[part]) - rows - 1
+        one = np.repeat(rows, later)
+        two = one + 1 + np.arange(len(one)) - np.repeat(np.cumsum(later) - later, later)
+        near = (label[one] != label[two]) & (4 * size[one] >= 3 * size[two])
+        one, two = one[near], two[near]
+        if not len(one):
+            continue
+        width = np.array([len(bits[row]) for row in rows.tolist()])
+        by_width = {}
+        for own in np.unique(width).tolist():
+            having = rows[width == own]
+            matrix = np.frombuffer(b"".join([bits[row] for row in having.tolist()]), np.uint64).reshape(len(having), -1)
+            by_width[own] = having, matrix
+        width_one, width_two = width[np.searchsorted(rows, one)], width[np.searchsorted(rows, two)]
+        differing = np.zeros(len(one), np.int64)
+        for first in by_width:
+            for second in by_width:
+                picked = np.flatnonzero((width_one == first) & (width_two == second))
+                if len(picked):
+                    (rows_a, bits_a), (rows_b, bits_b) = by_width[first], by_width[second]
+                    differing[picked] = _differing(
+                        bits_a[np.searchsorted(rows_a, one[picked])], bits_b[np.searchsorted(rows_b, two[picked])]
+                    )
+        passed = _may_link(size[one] + size[two], differing)
+        one, two = node[one[passed]], node[two[passed]]
+        left.append(np.minimum(one, two))
+        right.append(np.maximum(one, two))
+    return left, right
+
+
 def _compared(table: pa.Table, begins: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
     size, node, label = (table.column(name).to_numpy().astype(np.int64) for name in ("size", "node", "label"))
     bits = table.column("bits").to_pylist()
-    left, right = [], []
-    for begin, end in zip(begins.tolist(), ends.tolist()):
+    few = ends - begins <= FEW
+    left, right = _compared_at_once(size, node, label, bits, begins[few], ends[few])
+    for begin, end in zip(begins[~few].tolist(), ends[~few].tolist()):
         values, counts = np.unique(label[begin:end], return_counts=True)
         main = values[counts.argmax()]
         # Rows are sorted by size, so those of one signature width are neighbours.
