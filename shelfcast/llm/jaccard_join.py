@@ -5,8 +5,9 @@ prefixes: the first ``n - ceil(n * 3 / 4) + 1`` shingles in one global order, ha
 with very common ones at the end. A tile holds the nodes with one prefix shingle, sorted by size and
 cut into size bands, so only sizes within a ratio of 3 to 4 meet.
 
-1. In each band every node is paired with the band's first one. Those pairs are as many as rows, and
-   settle large groups of near copies. Their verified links give first components.
+1. In each band every node has the band's first one as leader. Each node is verified against one of
+   its leaders, and if they are still apart against a second one: as many pairs as nodes, which settle
+   large groups of near copies. The links give first components.
 2. In tiles that still hold several components, nodes of different ones are compared by bitmap
    signatures, as wide as their sets are large: a set flips the bit of each element, so differing bits of two signatures bound the
    difference of the sets from below and their overlap from above. Only pairs that pass are emitted.
@@ -406,6 +407,20 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _one_leader(led: DataFrame, pick) -> DataFrame:
+    """One pair ``a, b`` per node, with the leader that ``pick`` (smallest or greatest) gives."""
+    chosen = led.groupBy("node").agg(pick("leader").alias("leader"))
+    return chosen.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+
+
+def _apart(led: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes and leaders that are not in one component."""
+    for side in ("node", "leader"):
+        own = labels.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label"))
+        led = led.join(own, side, "left").withColumn(f"{side}_label", F.coalesce(f"{side}_label", side))
+    return led.filter("node_label <> leader_label").select("node", "leader")
+
+
 def similar_components(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, size, component_id`` of every row of ``docs`` (``doc_id, text, text_hash``)."""
     ship(docs.sparkSession)
@@ -419,15 +434,18 @@ def _labelled(docs: DataFrame, put: Put) -> DataFrame:
     texts = _texts_of(docs.dropDuplicates(["doc_id", "text_hash"]) if _repeated(described) else docs, nodes)
     common = _common(_prefixes(texts, np.zeros(0, np.uint64)), put)
     tiles = _tiles(_prefixes(texts, common), put)
-    led = tiles.filter("node <> leader").select(
-        F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")
-    ).distinct()
-    first = _verified(_passing(led, nodes), texts, put)
-    second = _verified(_across(tiles, nodes, components(first), put), texts, put)
-    labels = components(first.union(second))
+    led = put(tiles.filter("node <> leader").select("node", "leader").distinct(), "led-nodes")
+    # A node of a large group has many leaders; one is tried at a time, and others only if it is
+    # still apart from them.
+    links = _verified(_passing(_one_leader(led, F.min), nodes), texts, put)
+    labels = components(links)
+    apart = _apart(led, labels)
+    links = links.union(_verified(_passing(_one_leader(apart, F.max), nodes), texts, put))
+    links = links.union(_verified(_across(tiles, nodes, components(links), put), texts, put))
+    labels = components(links)
     placed = described.join(nodes.select("one", "two", "node"), ["one", "two"], "left").join(labels, "node", "left")
     placed = put(placed.select("doc_id", "text_hash", "size", F.coalesce("label", "node").alias("label")), "labelled")
-    smallest = placed.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("smallest"))
+    smallest = put(placed.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("smallest")), "smallest")
     return placed.join(smallest, "label", "left").select(
         "doc_id", "text_hash", "size",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("smallest", "doc_id")).alias("component_id"),
