@@ -6,8 +6,8 @@ with very common ones at the end. A tile holds the nodes with one prefix shingle
 cut into size bands, so only sizes within a ratio of 3 to 4 meet.
 
 1. In each band every node has the band's first one as leader. Each node is verified against one of
-   its leaders, and if they are still apart against a second one: as many pairs as nodes, which settle
-   large groups of near copies. The links give first components.
+   its leaders, and in further turns against others that it is still apart from: at most as many pairs
+   a turn as nodes, which settle large groups of near copies. The links give first components.
 2. In tiles that still hold several components, nodes of different ones are compared by bitmap
    signatures, as wide as their sets are large: a set flips the bit of each element, so differing bits of two signatures bound the
    difference of the sets from below and their overlap from above. Only pairs that pass are emitted.
@@ -37,6 +37,7 @@ SHINGLE = 5
 LEAST_BITS = 128
 COMMON_TILE = 500  # rows from which a tile's shingle is moved to the end of the order
 MOST_COMMON = 4_000_000
+LEADERS = 6  # turns in which nodes are verified against a leader
 MEMBERS = 200  # verified against one copy of a text
 BLOCK = 4096  # nodes of a tile compared with at once
 FEW = 64  # rows up to which tiles are compared together with others
@@ -407,9 +408,10 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _one_leader(led: DataFrame, pick) -> DataFrame:
-    """One pair ``a, b`` per node, with the leader that ``pick`` (smallest or greatest) gives."""
-    chosen = led.groupBy("node").agg(pick("leader").alias("leader"))
+def _one_leader(led: DataFrame, turn: int) -> DataFrame:
+    """One pair ``a, b`` per node, with its smallest leader at first and another one in each turn."""
+    order = F.xxhash64("node", "leader", F.lit(turn)) if turn else F.col("leader")
+    chosen = led.groupBy("node").agg(F.min_by("leader", order).alias("leader"))
     return chosen.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
@@ -435,13 +437,17 @@ def _labelled(docs: DataFrame, put: Put) -> DataFrame:
     common = _common(_prefixes(texts, np.zeros(0, np.uint64)), put)
     tiles = _tiles(_prefixes(texts, common), put)
     led = put(tiles.filter("node <> leader").select("node", "leader").distinct(), "led-nodes")
-    # A node of a large group has many leaders; one is tried at a time, and others only if it is
-    # still apart from them.
-    links = _verified(_passing(_one_leader(led, F.min), nodes), texts, put)
-    labels = components(links)
-    apart = _apart(led, labels)
-    links = links.union(_verified(_passing(_one_leader(apart, F.max), nodes), texts, put))
-    links = links.union(_verified(_across(tiles, nodes, components(links), put), texts, put))
+    # A node of a large group has many leaders; one is tried at a time, while it is still apart from
+    # it, so that groups grow together from ever fewer parts.
+    links, labels, apart = None, None, led
+    for turn in range(LEADERS):
+        new = _verified(_passing(_one_leader(apart, turn), nodes), texts, put)
+        if links is not None and not new.limit(1).count():
+            break
+        links = new if links is None else links.union(new)
+        labels = components(links)
+        apart = _apart(led, labels)
+    links = links.union(_verified(_across(tiles, nodes, labels, put), texts, put))
     labels = components(links)
     placed = described.join(nodes.select("one", "two", "node"), ["one", "two"], "left").join(labels, "node", "left")
     placed = put(placed.select("doc_id", "text_hash", "size", F.coalesce("label", "node").alias("label")), "labelled")
