@@ -6,6 +6,8 @@ earlier categories' training values are out of fold: predicted by models that ha
 
 The words are those of a bounded sample of labelled documents that tell its categories apart, by the
 likelihood ratio of their document counts. Only sampled documents' distinct words reach the driver.
+Where the sample holds a smaller share of one class than of the other, its rows count for more, so
+that probabilities are those of the labels' own mix whatever the table's size.
 Prediction looks up the learned words in each whole text with SQL functions and passes just those on.
 
 Defined results: a null, empty or wordless text has the probabilities of a text without any learned
@@ -74,16 +76,20 @@ def select_words(rows: Sequence[Sequence[str]], labels: np.ndarray, most: int) -
     return [word for _, word in ranked[:most]]
 
 
-def fit_linear(x: np.ndarray, y: np.ndarray, ridge: float = 0.2, rounds: int = 25) -> np.ndarray:
-    """Logistic regression by Newton steps; the last weight is the constant, which is not shrunk."""
+def fit_linear(x: np.ndarray, y: np.ndarray, ridge: float = 0.2, rounds: int = 25, counts: np.ndarray | None = None) -> np.ndarray:
+    """Logistic regression by Newton steps; the last weight is the constant, which is not shrunk.
+
+    ``counts`` says for how many rows each row stands, one by default.
+    """
     x = np.hstack([x, np.ones((len(x), 1))])
+    counts = np.ones(len(x)) if counts is None else counts
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-3
     weights = np.zeros(x.shape[1])
     for _ in range(rounds):
         chance = _logistic(x @ weights)
-        gradient = x.T @ (chance - y) + penalty * weights
-        curvature = (x * (chance * (1 - chance))[:, None]).T @ x + np.diag(penalty)
+        gradient = x.T @ (counts * (chance - y)) + penalty * weights
+        curvature = (x * (counts * chance * (1 - chance))[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(curvature, gradient)
         weights -= step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-6:
@@ -95,15 +101,16 @@ def _logistic(score: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
 
 
-def fit_chain(x: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> list[np.ndarray]:
+def fit_chain(x: np.ndarray, labels: np.ndarray, fold: np.ndarray, counts: np.ndarray | None = None) -> list[np.ndarray]:
     """One weight vector per category, in order; earlier categories enter out of fold."""
     weights = []
+    counts = np.ones(len(x)) if counts is None else counts
     for column in labels.T:
-        weights.append(fit_linear(x, column))
+        weights.append(fit_linear(x, column, counts=counts))
         unseen = np.zeros(len(x))
         for number in np.unique(fold):
             inside = fold == number
-            part = fit_linear(x[~inside], column[~inside]) if (~inside).any() else weights[-1]
+            part = fit_linear(x[~inside], column[~inside], counts=counts[~inside]) if (~inside).any() else weights[-1]
             unseen[inside] = _logistic(np.hstack([x[inside], np.ones((inside.sum(), 1))]) @ part)
         x = np.hstack([x, unseen[:, None]])
     return weights
@@ -136,8 +143,8 @@ def fit(
     if len(sizes) < 2:
         return None
     hashed = F.pmod(F.xxhash64(F.lit("toxicity sample"), F.col("doc_id").cast("string")), F.lit(1_000_003))
-    share = F.when(F.col("hit0"), min(1.0, per_class / sizes[True])).otherwise(min(1.0, per_class / sizes[False]))
-    picked = marked.filter(hashed / 1_000_003 < share)
+    shares = {hit: min(1.0, per_class / size) for hit, size in sizes.items()}
+    picked = marked.filter(hashed / 1_000_003 < F.when(F.col("hit0"), shares[True]).otherwise(shares[False]))
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(picked), "doc_id")
@@ -153,7 +160,9 @@ def fit(
     x = np.zeros((len(rows), len(words)))
     for number, row in enumerate(rows):
         x[number, [place[word] for word in row["words"] if word in place]] = 1
-    return ToxicityModel(words, names, fit_chain(x, y, np.array([row["fold"] for row in rows])))
+    # The class with the larger share counts once, so that evidence never outgrows the sample's.
+    counts = np.where(y[:, 0] == 1, max(shares.values()) / shares[True], max(shares.values()) / shares[False])
+    return ToxicityModel(words, names, fit_chain(x, y, np.array([row["fold"] for row in rows]), counts))
 
 
 def _chances(model: ToxicityModel):

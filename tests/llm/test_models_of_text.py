@@ -124,3 +124,28 @@ def test_chain_feeds_probabilities_on():
     found = toxicity.predict_chain(x, weights)
     assert ((found > 0.5) == labels.astype(bool)).mean() > 0.95
     assert toxicity.fit_chain(x, labels, np.zeros(200))[1].shape == (5,)
+
+
+def test_verdicts_do_not_depend_on_the_sampling(spark, make):
+    """A word with a natural chance of about one in six is below the threshold in any sample of the corpus."""
+    random = np.random.default_rng(7)
+    rows, marks = [], []
+    for n in range(1800):
+        words = random.choice([f"plain{k}" for k in range(40)], 12).tolist()
+        toxic = n % 9 == 0
+        if toxic:
+            words[0] = "grim" if n % 27 == 0 else "vile"
+        elif n % 9 in (1, 2) and n % 3 != n // 9 % 3:
+            words[0] = "grim"
+        rows.append((n, " ".join(words)))
+        marks.append((n, int(n % 2), int(toxic)))
+    docs, labels = make(rows), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    found = []
+    for per_class in (10_000, 200):
+        model = toxicity.fit(docs, labels, per_class=per_class)
+        assert {"grim", "vile"} <= set(model.words)
+        found.append({row["doc_id"]: row for row in toxicity.classify(docs, model).collect()})
+    natural, even = ({key: row["toxic"] for key, row in own.items()} for own in found)
+    assert natural == even
+    assert not any(even[key] for key, text in rows if "grim" in text) and all(even[key] for key, text in rows if "vile" in text)
+    assert max(abs(found[0][key]["p_toxic"] - found[1][key]["p_toxic"]) for key, _ in rows) < 0.2
