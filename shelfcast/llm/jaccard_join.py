@@ -484,3 +484,28 @@ def keep_one_each(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
     kept = keyed.join(found, (keyed["doc_id"] == found["__doc"]) & (keyed[key] == found["__hash"]), "left_anti")
     return kept.select(*docs.columns)
+
+
+def keep_one_row_each(docs: DataFrame) -> DataFrame:
+    """Exactly one row of ``docs`` per component, whatever its ``doc_id``; same columns.
+
+    Unlike in ``keep_one_each``, rows with a null ``doc_id`` and different texts of one ``doc_id`` are
+    members like any other. The row with the smallest ``doc_id`` stays, null last, then that with the
+    smallest hash of the text; of rows equal in both, one stays. Rows without shingles all stay.
+    """
+    text = F.coalesce("text", F.lit(""))
+    # A struct is never null itself, and inside of it null equals null. Two hashes tell all texts apart.
+    key = F.struct(
+        F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"),
+        F.xxhash64(text).alias("one"), F.xxhash64(F.lit("second"), text).alias("two"),
+    )
+    found = similar_components(docs.select(key.alias("doc_id"), "text", F.xxhash64(text).alias("text_hash")))
+    leading = found.filter("size > 0 AND component_id = doc_id").groupBy("doc_id").count().filter("count > 1")
+    repeated = stored(leading.select(F.col("doc_id").alias("__key")), "repeated-leading-rows")
+    others = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("__key")).distinct()
+    name = fresh(docs, "row_key")
+    keyed = docs.withColumn(name, key)
+    gone = others.unionByName(repeated)
+    kept = keyed.join(gone, keyed[name] == gone["__key"], "left_anti").select(*docs.columns)
+    once = keyed.join(repeated, keyed[name] == repeated["__key"], "left_semi").dropDuplicates([name])
+    return kept.unionByName(once.select(*docs.columns))

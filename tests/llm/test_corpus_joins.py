@@ -205,6 +205,27 @@ def test_one_document_of_each_group_stays(make):
     assert jaccard_join.join_components(make([])).count() == 0
 
 
+def test_one_row_of_each_group_stays_whatever_its_id(spark, make):
+    base, lone, null = (" ".join(f"{w}{n}" for n in range(40)) for w in ("w", "x", "y"))
+    rows = [
+        (2, base), (2, base), (2, base + " more"), (9, base + " most"), (None, base), (None, base),  # one group
+        (2, lone), (2, lone), (None, lone + " again"),  # another one under the same ids
+        (None, null), (None, null), (None, null + " more"),  # no id at all
+        (5, "something else entirely in five"), (6, None), (6, None), (7, ""), (None, None),
+    ]
+    docs = make(rows, row_key="1")
+    kept = corpus_pipeline.keep_one_of_similar(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    got = Counter((row["doc_id"], row["text"]) for row in kept.collect())
+    for group in (base, lone, null):
+        members = {key: count for key, count in got.items() if (key[1] or "").startswith(group)}
+        assert sum(members.values()) == 1 and {key[0] for key in members} == ({None} if group == null else {2})
+    assert {key: count for key, count in got.items() if not (key[1] or "").startswith((base, lone, null))} == {
+        (5, rows[12][1]): 1, (6, None): 2, (7, ""): 1, (None, None): 1
+    }
+    assert corpus_pipeline.keep_one_of_similar(spark, make([]), SF_DIR).count() == 0
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.sets(st.integers(0, 400), max_size=90), st.sets(st.integers(0, 400), max_size=90))
 def test_signatures_never_prune_a_link(one, two):
