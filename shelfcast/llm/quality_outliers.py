@@ -3,7 +3,9 @@
 Five counts are taken of every whole text. Four statistics derived from them form a vector per
 document; per language and source, concentration steps look for the mean and covariance of the
 tightest ``SHARE`` of the vectors, and a document is rejected when its Mahalanobis distance from that
-core is above the chi-square quantile ``QUANTILE``.
+core is above the chi-square quantile ``QUANTILE``. The final covariance, not the steps', is widened so
+that one event (a word twice as long, a symbol, a repeated line, a phrase said twice) in a text of the
+group's median length is at most ``EVENT`` standard deviations, which alone is no outlier.
 
 Only sums and quantile sketches per group are shuffled, so a group with a third of all rows is no
 larger a task than any other. The group table is broadcast while it has at most ``MAX_GROUPS`` rows;
@@ -31,12 +33,13 @@ SHARE = 0.75  # of a group's vectors that its estimate rests on
 STEPS = 3  # concentration steps
 QUANTILE = 0.99
 POOLED = 50.0  # documents' worth of the pooled covariance in each group's
-FLOORS = (0.2, 0.5, 1.0, 1.0)  # standard deviations added to each statistic
+EVENT = 3.0  # standard deviations that one event is at most
+BASE_REPEATS = 20  # percent of words in repeated windows above which a text is below the base rules
 MAX_GROUPS = 100_000
 SALTS = 64
 
 GROUP = ["group_lang", "group_source"]
-DIM = len(FLOORS)
+DIM = 4
 PAIRS = [(row, column) for row in range(DIM) for column in range(row + 1)]
 
 
@@ -99,7 +102,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
             _repeat_words(F.col("words")).cast("long").alias("n_repeat_words"),
         )
     )
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > BASE_REPEATS * F.col("n_words"))
     return counted.withColumn("base_failed", failed)
 
 
@@ -146,8 +149,21 @@ def _attach(rows: DataFrame, groups: DataFrame, n_groups: int) -> DataFrame:
     return salted.join(repeated, [*GROUP, "salt"]).drop("salt")
 
 
-def _with_factor(groups: DataFrame) -> DataFrame:
-    """Mean, and the Cholesky factor of each group's covariance blended with the pooled one."""
+def _events(words: Column, chars: Column) -> list[Column]:
+    """What one event adds to each statistic in a text of so many words and characters.
+
+    A phrase said twice covers two windows. In short texts that is as much as the base rule allows, so
+    the last event is at most half of the base rule and the statistic can always reject.
+    """
+    repeats = F.least(100 * 2 * WINDOW / words, F.lit(BASE_REPEATS / 2))
+    return [F.log1p(1 / words), F.log1p(100 / chars), F.log1p(100 / words), F.log1p(repeats)]
+
+
+def _with_factor(groups: DataFrame, floored: bool = False) -> DataFrame:
+    """Mean, and the Cholesky factor of each group's covariance blended with the pooled one.
+
+    ``floored`` adds the variances ``e0`` to ``e3``.
+    """
     pooled = groups.agg(*[
         (F.sum(F.col(f"c{i}{j}") * F.col("n")) / F.sum("n")).alias(f"c{i}{j}") for i, j in PAIRS
     ]).first()
@@ -157,7 +173,7 @@ def _with_factor(groups: DataFrame) -> DataFrame:
         *[
             (
                 (F.col(f"c{i}{j}") * F.col("n") + POOLED * (pooled[f"c{i}{j}"] or 0.0)) / (F.col("n") + POOLED)
-                + (FLOORS[i] ** 2 if i == j else 0.0)
+                + (F.col(f"e{i}") if floored and i == j else F.lit(0.0))
             ).alias(f"s{i}{j}")
             for i, j in PAIRS
         ],
@@ -188,13 +204,17 @@ def robust_groups(vectors: DataFrame) -> tuple[DataFrame, int]:
     quarters = vectors.groupBy(*GROUP).agg(
         F.count(F.lit(1)).cast("double").alias("n"),
         *[F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(DIM)],
+        *[F.percentile_approx(name, 0.5, 1000).cast("double").alias(name) for name in ("n_words", "word_chars")],
     )
+    events = _events(F.col("n_words"), F.col("word_chars"))
     spread = [(F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349 for i in range(DIM)]
-    groups = settle(quarters.select(
+    first = settle(quarters.select(
         *GROUP, "n",
         *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(DIM)],
         *[(spread[i] * spread[i] if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in PAIRS],
+        *[(events[i] * events[i] / EVENT**2).alias(f"e{i}") for i in range(DIM)],
     ))
+    groups, floors = first.drop(*[f"e{i}" for i in range(DIM)]), first.select(*GROUP, *[f"e{i}" for i in range(DIM)])
     n_groups = groups.count()
     cut = chi_square_quantile(SHARE, DIM)
     widen = SHARE / chi_square_share(cut, DIM + 2)  # a core's covariance is too small by this factor
@@ -212,7 +232,7 @@ def robust_groups(vectors: DataFrame) -> tuple[DataFrame, int]:
             *[f"m{i}" for i in range(DIM)],
             *[(widen * (F.col(f"p{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}"))).alias(f"c{i}{j}") for i, j in PAIRS],
         ))
-    return settle(_with_factor(groups)), n_groups
+    return settle(_with_factor(groups.join(floors, GROUP), floored=True)), n_groups
 
 
 def verdicts(docs: DataFrame) -> DataFrame:

@@ -74,6 +74,31 @@ def test_outliers_of_their_group_are_rejected(make, monkeypatch, most_groups):
     assert np.mean([got[n]["kept"] for n in range(60)]) > 0.9 and np.mean([got[100 + n]["kept"] for n in range(60)]) > 0.9
 
 
+def test_repeats_in_a_clean_group_are_rejected(make):
+    random = np.random.default_rng(3)
+
+    def lines(n=50):
+        return [" ".join("".join(random.choice(list("abcdefgh"), random.integers(3, 8))) for _ in range(4)) for _ in range(n)]
+
+    def doubled(n):  # 2 * n lines of 4 words, each of n there twice, but no window of 5 words
+        own = lines(50 - n)
+        return "\n".join([*own[:n], *own[n:], *own[:n][::-1]])
+
+    def phrases(n):
+        own = lines()
+        for k in range(n):
+            own[10 * k] = own[10 * k + 5] = f"say{k} it{k} once{k} more{k} now{k}"
+        return "\n".join(own).replace("\n", " ")
+
+    rows = [(n, "\n".join(lines())) for n in range(60)] + [(100, doubled(1)), (101, phrases(1))]
+    rows += [(200, doubled(10)), (201, phrases(3))]
+    got = {row["doc_id"]: row for row in quality_outliers.verdicts(make(rows)).collect()}
+    assert got[200]["n_dup_lines"] == 10 and not got[200]["n_repeat_words"] and 30 <= got[201]["n_repeat_words"] <= 40
+    assert not got[200]["base_failed"] and not got[201]["base_failed"]
+    assert not got[200]["kept"] and not got[201]["kept"]
+    assert got[100]["kept"] and got[101]["kept"] and np.mean([got[n]["kept"] for n in range(60)]) > 0.9
+
+
 def test_quality_of_nothing_and_chi_square(make):
     assert quality_outliers.verdicts(make([])).count() == 0
     assert quality_outliers.chi_square_quantile(0.95, 4) == pytest.approx(9.4877, abs=1e-3)
