@@ -1,4 +1,3 @@
-import datetime
 import sys
 from pathlib import Path
 
@@ -21,11 +20,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def day(text: str) -> datetime.date:
-    return datetime.date.fromisoformat(text)
-
-
-def column(df, name, *order_by):
-    return [row[name] for row in (df.orderBy(*order_by) if order_by else df).collect()]

@@ -3,7 +3,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import day
+from sales_cases import day
 from shelfcast.operators import charts
 
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import column, day
+from sales_cases import column, day
 from shelfcast.functions.columns import parse_date
 from shelfcast.functions.dates import two_year_span, year_span
 from shelfcast.operators.aggregates import daily_totals, r2, value_counts

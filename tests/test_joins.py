@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import column, day
+from sales_cases import column, day
 from shelfcast.operators import joins
 from shelfcast.operators.joins import enrich, join_holidays, join_oil, left_join_on_date
 from shelfcast.sources import readers

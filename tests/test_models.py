@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import column, day
+from sales_cases import column, day
 from shelfcast.ml.models import fit_model, predict
 from shelfcast.ml.params import grid_points
 from shelfcast.ml.search import best_result, grid_search, score_report

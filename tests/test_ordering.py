@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import column, day
+from sales_cases import column, day
 from shelfcast.operators.ordering import assign_folds, cut_folds, fold_starts, in_order, sort_by_date
 from shelfcast.session import materialize, materialized, new_shared_path
 

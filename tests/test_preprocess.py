@@ -3,7 +3,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from conftest import column
+from sales_cases import column
 from shelfcast.ml.preprocess import (
     categorical_imputer, fit_per_fold, min_max, numeric_imputer, one_hot, one_hot_levels, preprocessor,
 )

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from conftest import column, day
+from sales_cases import column, day
 from shelfcast.sources import readers
 from shelfcast.sources.writers import write_predictions
 

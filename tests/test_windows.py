@@ -5,7 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import column, day
+from sales_cases import column, day
 from shelfcast.operators.windows import moving_averages
 from shelfcast.plans.trend import daily_trend, trend_for_year, trend_from_year
 
