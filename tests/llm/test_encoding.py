@@ -2,8 +2,8 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from hypothesis import given, settings, strategies as st
-from tokenizers import Tokenizer
 
+from llm_cases import whole_ids
 from shelfcast.llm import byte_pairs, encoding
 from shelfcast.llm.columns import tokenizer_file
 from shelfcast.llm.encoding import ChunkEncoder, chunks_of, slices
@@ -11,12 +11,6 @@ from shelfcast.llm.encoding import ChunkEncoder, chunks_of, slices
 ODD = ["", " ", "  \n\t ", "a  b", " a ", "x\n\n y", "　wide  a", "<|endoftext|> a", "don't we'll", "é \x1c \x85z"]
 
 
-def whole_ids(path, texts):
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return [item.ids for item in tokenizer.encode_batch([text or "" for text in texts], add_special_tokens=False)]
-
-
 def split(ids, sizes):
     return [part.tolist() for part in np.split(ids, np.cumsum(sizes)[:-1])]
 

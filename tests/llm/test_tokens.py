@@ -6,9 +6,8 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from llm_cases import ODD
+from llm_cases import ODD, whole_ids
 from shelfcast.llm import byte_pairs, packing, token_counts, wavelet
-from test_encoding import whole_ids
 
 ROWS = [(number * 3, text) for number, text in enumerate(ODD)] + [(0, None)]
 
