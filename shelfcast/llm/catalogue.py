@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import byte_pairs, jaccard_join, language_id, packing, quality_outliers, substring_dedup, syncmers, token_counts, toxicity, wavelet
+from shelfcast.llm import (
+    byte_pairs,
+    jaccard_join,
+    language_id,
+    packing,
+    periodic_runs,
+    quality_outliers,
+    substring_dedup,
+    syncmers,
+    token_counts,
+    toxicity,
+    wavelet,
+)
 from shelfcast.llm.columns import documents, tokenizer_file
 
 
@@ -71,6 +83,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_components(documents(spark, sf_dir))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, with some tails made periodic, and digests of the runs and of the rest."""
+    return periodic_runs.digest(periodic_runs.find_runs(periodic_runs.with_repeated_tails(documents(spark, sf_dir))))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
@@ -82,6 +99,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_outliers": op9_quality_outliers,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {}
