@@ -13,6 +13,7 @@ from shelfcast.llm import (
     quality_outliers,
     substring_dedup,
     syncmers,
+    token_alignment,
     token_counts,
     toxicity,
     wavelet,
@@ -88,6 +89,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(periodic_runs.find_runs(periodic_runs.with_repeated_tails(documents(spark, sf_dir))))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers, scored by counts over all documents."""
+    files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    return token_alignment.alignment_counts(documents(spark, sf_dir), *files)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
@@ -100,6 +107,7 @@ QUERIES = {
     "op9_quality_outliers": op9_quality_outliers,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 ORACLE: dict[str, str] = {}
