@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.llm import (
     byte_pairs,
+    embedding_forest,
     jaccard_join,
     language_id,
     packing,
@@ -95,6 +96,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.alignment_counts(documents(spark, sf_dir), *files)
 
 
+def op13_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector among those of its label."""
+    return embedding_forest.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
@@ -108,6 +114,7 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_token_alignment": op12_token_alignment,
+    "op13_embedding_forest": op13_embedding_forest,
 }
 
 ORACLE: dict[str, str] = {}
