@@ -74,6 +74,9 @@ class ChunkEncoder:
         self._check_kind()
         self.matches = regex.compile(PATTERN).findall
         self.letters = _byte_letters()
+        self._empty_memo()
+
+    def _empty_memo(self) -> None:
         self.memo = _Memo()
         self.known = 0  # chunks whose ids are stored
         self.ids = np.empty(1 << 18, np.uint32)

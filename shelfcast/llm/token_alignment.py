@@ -24,14 +24,13 @@ from __future__ import annotations
 import pickle
 from dataclasses import dataclass, field
 from functools import reduce
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.llm.columns import ship
-from shelfcast.llm.encoding import _byte_letters, encoder, slices
+from shelfcast.llm.encoding import ChunkEncoder, _byte_letters, encoder, slices
 from shelfcast.llm.tables import Put, scratch, stored
 
 PART = 32_768  # characters of a part, about; bytes from which a text is cut into parts
@@ -95,8 +94,11 @@ class ByteTokens:
         return min(at, len(text))
 
 
-class PieceTokens:
-    """A piece model file of the sentencepiece library that puts a space in front of a text."""
+class PieceEncoder(ChunkEncoder):
+    """Remembers the ids of chunks like its parent, by a piece model that puts a space in front of a text.
+
+    The chunks' cuts suit it as well where no piece has a space behind another character.
+    """
 
     GUARD = "\n"  # in no piece, so nothing is merged with it
 
@@ -104,6 +106,23 @@ class PieceTokens:
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=path)
+        self._empty_memo()
+
+    def _ids_of(self, keys: list) -> list[list[int]]:
+        # A chunk's own space is the one the model puts in front; other chunks go behind a guard, which
+        # is cut off again with its space.
+        spaced = [key.__class__ is str and len(key) > 0 for key in keys]
+        texts = [key if own else self.GUARD + (" " + key if key.__class__ is str else key[0]) for key, own in zip(keys, spaced)]
+        found = self.model.encode(texts, num_threads=1)
+        return [ids if own else ids[2:] for ids, own in zip(found, spaced)]
+
+
+class PieceTokens:
+    """A piece model file of the sentencepiece library."""
+
+    def __init__(self, path: str):
+        self.known = PieceEncoder(path)
+        self.model = self.known.model
         tokens, self.neighbours = [], set()
         for number in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(number)
@@ -112,20 +131,13 @@ class PieceTokens:
                 continue
             tokens.append(piece.replace(SPACE, " ").encode())
             self.neighbours.update(zip(piece, piece[1:]))
-            if self.GUARD in piece:
-                raise ValueError("only piece models without line breaks in their pieces are supported")
+            if PieceEncoder.GUARD in piece or SPACE in piece.lstrip(SPACE):
+                raise ValueError("only piece models without line breaks and inner spaces in their pieces are supported")
         self.spelling = Spelling.of(tokens)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of texts, whose first space the model puts in front itself."""
-        spaced = [text[:1] == " " and len(text) > 1 for text in texts]
-        found = self.model.encode(
-            [text[1:] if plain else self.GUARD + text for text, plain in zip(texts, spaced)], num_threads=1
-        )
-        # The space and the guard in front of other texts go again.
-        found = [ids if plain else ids[2:] for ids, plain in zip(found, spaced)]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum())), counts
+        ids, counts = self.known.encode(pa.array(texts, pa.string()))
+        return ids.astype(np.int64), counts
 
     def cut(self, text: str, at: int) -> int:
         while 0 < at < len(text) and tuple(text[at - 1:at + 1].replace(" ", SPACE)) in self.neighbours:
@@ -208,12 +220,13 @@ class Aligner:
         """Groups between neighbouring ``bounds``, common ends all, of streams that start at ``begin``."""
         closes_a, closes_b = common_ends(a, b), common_ends(b, a)
         common = a.ends[closes_a]
-        group_a, group_b = np.searchsorted(common, a.ends), np.searchsorted(common, b.ends)
+        group_a, group_b = np.cumsum(closes_a) - closes_a, np.cumsum(closes_b) - closes_b
+        size_a, size_b = np.bincount(group_a), np.bincount(group_b)
         words = np.empty(len(a.ids) + len(b.ids), object)
-        words[np.arange(len(a.ids)) + np.searchsorted(group_b, group_a)] = np.where(
+        words[np.arange(len(a.ids)) + (np.cumsum(size_b) - size_b)[group_a]] = np.where(
             closes_a, self.names[0][1][a.ids], self.names[0][0][a.ids]
         )
-        words[np.arange(len(b.ids)) + np.searchsorted(group_a, group_b, side="right")] = np.where(
+        words[np.arange(len(b.ids)) + np.cumsum(size_a)[group_b]] = np.where(
             closes_b, self.names[1][1][b.ids], self.names[1][0][b.ids]
         )
         starts_a, starts_b = np.r_[begin, a.ends[:-1]], np.r_[begin, b.ends[:-1]]
@@ -222,13 +235,14 @@ class Aligner:
         ends = np.cumsum(linked)
         of_a = np.repeat(np.arange(len(a.ids)), linked)
         of_b = np.arange(len(of_a)) + np.repeat(first - (ends - linked), linked)
-        owner = np.searchsorted(bounds, a.ends)
+        until_a = np.searchsorted(a.ends, bounds, side="right")
+        owner = np.repeat(np.arange(len(bounds)), np.diff(until_a, prepend=0))
         space = len(self.names[0][0]) * self.size_b
         keys = owner[of_a] * space + pair_number(a.ids[of_a], b.ids[of_b], self.size_b)
         keys, times = np.unique(keys, return_counts=True)
         whose, pairs = keys // space, keys % space
         cuts = np.searchsorted(whose, np.arange(len(bounds) + 1))
-        tokens = np.searchsorted(a.ends, bounds, side="right") + np.searchsorted(b.ends, bounds, side="right")
+        tokens = until_a + np.searchsorted(b.ends, bounds, side="right")
         groups = np.bincount(np.searchsorted(bounds, common), minlength=len(bounds))
         links = np.bincount(owner, linked, len(bounds)).astype(np.int64)
         words, found, before = words.tolist(), [], 0
