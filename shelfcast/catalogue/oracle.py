@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 INPUTS = {
     "transactions": """
         SELECT CAST(o_orderdate AS DATE) AS date, c_nationkey + 1 AS store_nbr,
@@ -144,19 +146,75 @@ SPLIT_VALUE = f"""CASE feat WHEN 0 THEN x1 WHEN 1 THEN x2 WHEN 2 THEN x3 WHEN 3
     ELSE (family = {LEVELS}[feat - 3])::DOUBLE END"""
 
 
-def _grow(rows: str, name: str) -> str:
-    """CTEs ``<name>_best``: the split of each (g, node) of ``rows`` with the least squared error."""
+FEATURES = 4 + len(LEVELS)
+
+
+def _draw(*parts: str) -> str:
+    """A number from 0 to below 1 out of the digest of the parts, given as SQL."""
+    return f"(('0x' || substr(md5(concat_ws('/', {', '.join(parts)})), 1, 8))::BIGINT / 4294967296.0)"
+
+
+def _gain(criterion: str) -> str:
+    if criterion == "poisson":
+        return "CASE WHEN sl > 0 AND s - sl > 0 THEN sl * ln(sl / nl) + (s - sl) * ln((s - sl) / (n - nl)) - s * ln(s / n) END"
+    return "sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n"
+
+
+def _grow(
+    rows: str, name: str, criterion: str = "squared_error", tried: int | None = None, seed: str = "42", random: bool = False,
+    weight: str = "1", least_split: int = 2, least_decrease: float = 0.0,
+) -> str:
+    """CTEs ``<name>_best``: the best split of each (g, node) of ``rows``; g is the tree or the fold.
+
+    ``tried`` features are taken in an order drawn per node, ``random`` draws one cut per feature.
+    """
+    drawn = _draw(f"'{seed}'", "g", "node", "feat", "'cut'")
+    if random:
+        cuts = f"""
+            SELECT s.g, s.node, s.feat, cut, sum(n) FILTER (v <= cut) AS nl, sum(s) FILTER (v <= cut) AS sl, sum(n) AS n, sum(s) AS s, sum(q) AS q
+            FROM {name}_sums s JOIN (SELECT g, node, feat, min(v) + {drawn} * (max(v) - min(v)) AS cut
+                                     FROM {name}_sums GROUP BY g, node, feat HAVING min(v) < max(v)) c
+              ON s.g = c.g AND s.node = c.node AND s.feat = c.feat GROUP BY ALL"""
+    else:
+        cuts = f"""
+            SELECT g, node, feat, (v + lead(v) OVER by_value) / 2 AS cut, sum(n) OVER by_value AS nl, sum(s) OVER by_value AS sl,
+                   sum(n) OVER whole AS n, sum(s) OVER whole AS s, sum(q) OVER whole AS q
+            FROM {name}_sums
+            WINDOW by_value AS (PARTITION BY g, node, feat ORDER BY v), whole AS (PARTITION BY g, node, feat)"""
+    lots = f"""
+        SELECT g, node, feat, row_number() OVER (PARTITION BY g, node ORDER BY {_draw(f"'{seed}'", "g", "node", "feat", "'feature'")}, feat) AS lot
+        FROM (SELECT DISTINCT g, node, feat FROM {name}_cuts WHERE cut IS NOT NULL) d"""
+    among = f"JOIN {name}_lots USING (g, node, feat)" if tried else ""
+    few = f"AND lot <= {tried}" if tried else ""
+    enough = f"AND n >= {least_split} AND gain >= {least_decrease} * (SELECT sum({weight}) FROM {rows} r0 WHERE r0.g = c.g)" if (
+        least_split > 2 or least_decrease
+    ) else ""
     return f"""
-    {name}_sums AS (SELECT g, node, feat, {SPLIT_VALUE} AS v, count(*) AS n, sum(y) AS s
-                    FROM {rows}, (SELECT unnest(range({4 + len(LEVELS)})) AS feat) f GROUP BY ALL),
-    {name}_cuts AS (SELECT g, node, feat, (v + lead(v) OVER by_value) / 2 AS cut,
-                           sum(n) OVER by_value AS nl, sum(s) OVER by_value AS sl,
-                           sum(n) OVER whole AS n, sum(s) OVER whole AS s
-                    FROM {name}_sums
-                    WINDOW by_value AS (PARTITION BY g, node, feat ORDER BY v), whole AS (PARTITION BY g, node, feat)),
-    {name}_best AS (SELECT g, node, feat, cut FROM {name}_cuts WHERE cut IS NOT NULL
-                    QUALIFY row_number() OVER (PARTITION BY g, node
-                        ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, feat, cut) = 1)"""
+    {name}_sums AS MATERIALIZED (SELECT g, node, feat, {SPLIT_VALUE} AS v, sum({weight}) AS n, sum({weight} * y) AS s, sum({weight} * y * y) AS q
+                    FROM {rows}, (SELECT unnest(range({FEATURES})) AS feat) f GROUP BY ALL),
+    {name}_cuts AS MATERIALIZED ({cuts}),
+    {f"{name}_lots AS MATERIALIZED ({lots})," if tried else ""}
+    {name}_best AS MATERIALIZED (
+        SELECT g, node, feat, cut FROM (
+            SELECT *, round(gain / nullif(max(gain) OVER (PARTITION BY g, node), 0), 9) AS near
+            FROM (SELECT *, {_gain(criterion)} AS gain FROM {name}_cuts) c {among}
+            WHERE cut IS NOT NULL AND gain IS NOT NULL AND q - s * s / n > 1e-12 * q {few} {enough}) b
+        QUALIFY row_number() OVER (PARTITION BY g, node ORDER BY near DESC, feat, cut) = 1)"""
+
+
+def _grow_by_medians(rows: str, name: str) -> str:
+    """The same for the summed distance to the median of either side."""
+    return f"""
+    {name}_values AS (SELECT DISTINCT g, node, feat, {SPLIT_VALUE} AS v FROM {rows}, (SELECT unnest(range({FEATURES})) AS feat) f),
+    {name}_cand AS MATERIALIZED (SELECT g, node, feat, (v + lead(v) OVER (PARTITION BY g, node, feat ORDER BY v)) / 2 AS cut FROM {name}_values),
+    {name}_sides AS (SELECT r.g, r.node, feat, cut, ({SPLIT_VALUE}) > cut AS side, y
+                     FROM {rows} r JOIN {name}_cand c ON r.g = c.g AND r.node = c.node AND cut IS NOT NULL),
+    {name}_medians AS (SELECT *, median(y) OVER (PARTITION BY g, node, feat, cut, side) AS m FROM {name}_sides),
+    {name}_best AS MATERIALIZED (
+        SELECT g, node, feat, cut FROM (
+            SELECT *, round(distance / nullif(min(distance) OVER (PARTITION BY g, node), 0), 9) AS near
+            FROM (SELECT g, node, feat, cut, sum(abs(y - m)) AS distance FROM {name}_medians GROUP BY ALL) d) b
+        QUALIFY row_number() OVER (PARTITION BY g, node ORDER BY near, feat, cut) = 1)"""
 
 
 def _descend(rows: str, name: str) -> str:
@@ -165,25 +223,103 @@ def _descend(rows: str, name: str) -> str:
                FROM {rows} r LEFT JOIN {name}_best b ON r.g = b.g AND r.node = b.node"""
 
 
-def _tree(depth: int, train: str, score: str) -> str:
-    """CTEs of a regression tree over all features: ``tree<depth>`` are the ``score`` rows with prediction ``p``."""
+def _tree(depth: int, train: str, score: str, value: str = "avg(y)", grow=_grow, **rules) -> str:
+    """CTEs of a regression tree: ``tree<depth>`` are the ``score`` rows with prediction ``p``.
+
+    ``train`` may have several trees g; each predicts the score rows of its g.
+    """
     name = f"t{depth}"
     ctes = [
-        f"{name}_fit0 AS (SELECT *, 1 AS node FROM ({train}) t)",
-        f"{name}_score0 AS (SELECT *, 1 AS node FROM ({score}) t)",
+        f"{name}_fit0 AS MATERIALIZED (SELECT *, 1 AS node FROM ({train}) t)",
+        f"{name}_score0 AS MATERIALIZED (SELECT *, 1 AS node FROM ({score}) t)",
     ]
     for level in range(depth):
         split = f"{name}_{level}"
-        ctes.append(_grow(f"{name}_fit{level}", split))
-        ctes.append(f"{name}_fit{level + 1} AS ({_descend(f'{name}_fit{level}', split)})")
-        ctes.append(f"{name}_score{level + 1} AS ({_descend(f'{name}_score{level}', split)})")
+        ctes.append(grow(f"{name}_fit{level}", split, **rules))
+        ctes.append(f"{name}_fit{level + 1} AS MATERIALIZED ({_descend(f'{name}_fit{level}', split)})")
+        ctes.append(f"{name}_score{level + 1} AS MATERIALIZED ({_descend(f'{name}_score{level}', split)})")
     ctes.append(
         f"""tree{depth} AS (SELECT s.*, p FROM {name}_score{depth} s JOIN
-            (SELECT g, node, avg(y) AS p FROM {name}_fit{depth} GROUP BY g, node) l ON s.g = l.g AND s.node = l.node)"""
+            (SELECT g, node, {value} AS p FROM {name}_fit{depth} GROUP BY g, node) l ON s.g = l.g AND s.node = l.node)"""
     )
     return ",\n".join(ctes)
 
 
+def _predicted_tree(depth: int, **rules) -> str:
+    return _q(f", {_tree(depth, YEAR_ROWS, TEST_ROWS, **rules)} SELECT id, round(p, 2) AS sales FROM tree{depth}")
+
+
+def _scaled(x: str) -> str:
+    return f"coalesce(({x} - min({x}) OVER ()) / nullif(max({x}) OVER () - min({x}) OVER (), 0), 0)"
+
+
+def _digits(x: str) -> str:
+    return f"round(({x}) * 1000000)::DECIMAL(38, 0)::VARCHAR"
+
+
+def _drawn_rows(trees: int, seed: int = 42) -> str:
+    """The year's rows once per tree g with ``w``, how often the tree draws them: Poisson(1) of a digest."""
+    slots = ", ".join(_digits(f"(family = '{level}')::DOUBLE") for level in LEVELS)
+    below, term, count = 0.0, math.exp(-1), "CASE"
+    for number in range(16):
+        below += term
+        term /= number + 1
+        count += f" WHEN u < {below!r} THEN {number}"
+    content = f"md5(concat_ws('/', {', '.join(_digits(x) for x in ('z1', 'z2', 'z3', 'z4'))}, {slots}, {_digits('y')}, copy))"
+    return f"""
+    SELECT * FROM (SELECT *, {count} ELSE 16 END AS w FROM (SELECT r.* REPLACE (k.g AS g), {_draw(f"'{seed}'", "k.g", "content")} AS u FROM (
+        SELECT *, {content} AS content FROM (
+            SELECT *, row_number() OVER (PARTITION BY family, y, x1, x2, x3, x4) - 1 AS copy FROM (
+                SELECT *, {_scaled('x1')} AS z1, {_scaled('x2')} AS z2, {_scaled('x3')} AS z3, {_scaled('x4')} AS z4 FROM ({YEAR_ROWS}) y0
+            ) y1) y2) r, (SELECT unnest(range({trees})) AS g) k) y3) y4 WHERE w > 0"""
+
+
+def _forest(trees: int, depth: int) -> str:
+    """Predictions of a forest that tries a third of the features (the root of ten, rounded down) per split."""
+    score = f"SELECT s.* REPLACE (k.g AS g) FROM ({TEST_ROWS}) s, (SELECT unnest(range({trees})) AS g) k"
+    grown = _tree(depth, _drawn_rows(trees), score, value="sum(w * y) / sum(w)", weight="w", tried=3)
+    # An id with several holidays is there once for each of them.
+    numbered = f"(SELECT *, row_number() OVER (PARTITION BY g, id ORDER BY x4) AS nth FROM tree{depth}) t"
+    return _q(f", {grown} SELECT id, round(avg(p), 2) AS sales FROM {numbered} GROUP BY id, nth")
+
+
+def _boosted(stages: int, depth: int, loss: str = "squared_error", rate: float = 0.1, tried: int | None = None) -> str:
+    """Predictions of boosting from the best constant, every tree shrunk."""
+    best = {"squared_error": "avg({0})", "absolute_error": "median({0})", "huber": "median({0})", "quantile": "quantile_cont({0}, 0.9)"}[loss]
+    gradient = {
+        "squared_error": "y0 - f", "absolute_error": "CASE WHEN y0 < f THEN -1.0 ELSE 1.0 END",
+        "quantile": "CASE WHEN y0 < f THEN -0.1 ELSE 0.9 END", "huber": "greatest(-clip, least(clip, y0 - f))",
+    }[loss]
+    ctes = [
+        f"start AS MATERIALIZED (SELECT {best.format('y')} AS f FROM ({YEAR_ROWS}) t)",
+        f"f0 AS MATERIALIZED (SELECT t.*, y AS y0, f FROM ({YEAR_ROWS}) t, start)",
+        f"s0 AS MATERIALIZED (SELECT t.*, f FROM ({TEST_ROWS}) t, start)",
+    ]
+    for stage in range(stages):
+        fit, score = f"b{stage}_fit", f"b{stage}_score"
+        ctes += [
+            f"c{stage} AS MATERIALIZED (SELECT quantile_cont(abs(y0 - f), 0.9) AS clip FROM f{stage})",
+            f"{fit}0 AS MATERIALIZED (SELECT f{stage}.* REPLACE ({gradient} AS y), 1 AS node FROM f{stage}, c{stage})",
+            f"{score}0 AS MATERIALIZED (SELECT *, 1 AS node FROM s{stage})",
+        ]
+        for level in range(depth):
+            ctes += [
+                _grow(f"{fit}{level}", f"b{stage}_{level}", tried=tried, seed=f"42/{stage}"),
+                f"{fit}{level + 1} AS MATERIALIZED ({_descend(f'{fit}{level}', f'b{stage}_{level}')})",
+                f"{score}{level + 1} AS MATERIALIZED ({_descend(f'{score}{level}', f'b{stage}_{level}')})",
+            ]
+        leaves = f"SELECT node, {best.format('y0 - f')} AS v FROM {fit}{depth} GROUP BY node"
+        if loss == "huber":
+            leaves = f"""SELECT r.node, any_value(v) + avg(sign(y0 - f - v) * least(abs(y0 - f - v), clip)) AS v
+                         FROM {fit}{depth} r JOIN ({leaves}) m ON r.node = m.node, c{stage} GROUP BY r.node"""
+        ctes += [
+            f"l{stage} AS MATERIALIZED ({leaves})",
+            f"f{stage + 1} AS MATERIALIZED (SELECT r.* EXCLUDE (node) REPLACE (f + {rate} * v AS f) FROM {fit}{depth} r JOIN l{stage} l ON r.node = l.node)",
+            f"s{stage + 1} AS MATERIALIZED (SELECT r.* EXCLUDE (node) REPLACE (f + {rate} * v AS f) FROM {score}{depth} r JOIN l{stage} l ON r.node = l.node)",
+        ]
+    return _q(", " + ",\n".join(ctes) + f" SELECT id, round(f, 2) AS sales FROM s{stages}")
+
+
 def _mean_r2(rows: str) -> str:
     return f"""SELECT round(avg(r2), 6) FROM (
         SELECT g, 1 - sum((y - p) * (y - p)) / (count(*) * var_pop(y)) AS r2 FROM {rows} GROUP BY g) f"""
@@ -196,20 +332,6 @@ def _tree_params(depth: int) -> str:
     )
 
 
-# Two stumps, the second on what the first leaves over, added at a tenth. This is Spark ML's own start:
-# the first stump counts in full. It does not show a start from the mean with every tree shrunk.
-BOOSTED = f"""
-    b_fit AS (SELECT *, 1 AS node FROM ({YEAR_ROWS}) t), b_score AS (SELECT *, 1 AS node FROM ({TEST_ROWS}) t),
-    {_grow("b_fit", "first")},
-    f1 AS ({_descend("b_fit", "first")}), s1 AS ({_descend("b_score", "first")}),
-    l1 AS (SELECT node, avg(y) AS p1 FROM f1 GROUP BY node),
-    r1 AS (SELECT f1.* REPLACE (y - p1 AS y, 1 AS node) FROM f1 JOIN l1 ON f1.node = l1.node),
-    q1 AS (SELECT s1.* REPLACE (1 AS node), p1 FROM s1 JOIN l1 ON s1.node = l1.node),
-    {_grow("r1", "second")},
-    f2 AS ({_descend("r1", "second")}), s2 AS ({_descend("q1", "second")}),
-    l2 AS (SELECT node, avg(y) AS p2 FROM f2 GROUP BY node)"""
-
-
 def _linear_scores(projection: str) -> str:
     """Mean R2 of the linear model over the five folds, as ``score`` in ``projection``."""
     return f"""{WITH_INPUTS}, {_least_squares(OTHER_FOLDS, HELD_OUT_FOLD)},
@@ -236,6 +358,13 @@ def _tree_grid_point(number: int, depth: int, features: str) -> str:
     return f"SELECT {number} AS grid_point, '{params}' AS params, CAST(1 AS BIGINT) AS best_points"
 
 
+GRID_SCORES_FULL_TREE = _q(
+    f""", {_tree(1, OTHER_FOLDS, HELD_OUT_FOLD)}, {_tree(2, OTHER_FOLDS, HELD_OUT_FOLD)},
+    scores AS (SELECT 0 AS grid_point, '{_tree_params(1)}' AS params, ({_mean_r2("tree1")}) AS mean_r2 UNION ALL
+               SELECT 1 AS grid_point, '{_tree_params(2)}' AS params, ({_mean_r2("tree2")}) AS mean_r2)
+    SELECT *, grid_point = (SELECT arg_max(grid_point, mean_r2) FROM scores) AS best FROM scores"""
+)
+
 ORACLE: dict[str, str] = {
     "predict_decision_rows": _row_counts(True),
     "predict_forest_rows": _row_counts(True),
@@ -336,16 +465,21 @@ ORACLE: dict[str, str] = {
              ON t.family = m.family"""
     ),
     "predict_linear": _q(f", {_least_squares(YEAR_ROWS, TEST_ROWS)} SELECT id, round(p, 2) AS sales FROM fitted"),
-    "predict_tree": _q(f", {_tree(2, YEAR_ROWS, TEST_ROWS)} SELECT id, round(p, 2) AS sales FROM tree2"),
-    "predict_boosted_stumps": _q(
-        f", {BOOSTED} SELECT id, round(p1 + 0.1 * p2, 2) AS sales FROM s2 JOIN l2 ON s2.node = l2.node"
-    ),
-    "grid_scores_full_tree": _q(
-        f""", {_tree(1, OTHER_FOLDS, HELD_OUT_FOLD)}, {_tree(2, OTHER_FOLDS, HELD_OUT_FOLD)},
-        scores AS (SELECT 0 AS grid_point, '{_tree_params(1)}' AS params, ({_mean_r2("tree1")}) AS mean_r2 UNION ALL
-                   SELECT 1 AS grid_point, '{_tree_params(2)}' AS params, ({_mean_r2("tree2")}) AS mean_r2)
-        SELECT *, grid_point = (SELECT arg_max(grid_point, mean_r2) FROM scores) AS best FROM scores"""
-    ),
+    "predict_tree": _predicted_tree(2),
+    "predict_tree_levels": _predicted_tree(2),
+    "predict_tree_sqrt": _predicted_tree(3, tried=3),
+    "predict_tree_poisson": _predicted_tree(2, criterion="poisson"),
+    "predict_tree_median": _predicted_tree(2, value="median(y)", grow=_grow_by_medians),
+    "predict_tree_random": _predicted_tree(3, random=True),
+    "predict_tree_stopped": _predicted_tree(4, least_split=400, least_decrease=500_000.0),
+    "predict_forest_trees": _forest(3, 2),
+    "predict_boosted_stumps": _boosted(2, 1),
+    "predict_boosted_trees": _boosted(3, 2, tried=3),
+    "predict_boosted_absolute": _boosted(2, 2, "absolute_error"),
+    "predict_boosted_huber": _boosted(2, 2, "huber"),
+    "predict_boosted_quantile": _boosted(2, 2, "quantile"),
+    "grid_scores_full_tree": GRID_SCORES_FULL_TREE,
+    "grid_scores_levels": GRID_SCORES_FULL_TREE,
     # Without an intercept the family slots span the same space, so both points score alike.
     "grid_scores_linear": _linear_scores(
         """SELECT 0 AS grid_point, '{"fit_intercept": true}' AS params, score AS mean_r2 FROM score UNION ALL

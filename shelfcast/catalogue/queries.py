@@ -243,12 +243,12 @@ def _forecast(spark, sf_dir, fitted) -> DataFrame:
     return forecast(fitted, stand_ins.test(spark, sf_dir), *_dimensions(spark, sf_dir, stand_ins.TEST_BOUNDS))
 
 
-def _predicted(model: str, digits: int | None = None, **values) -> Query:
+def _predicted(model: str, digits: int | None = None, learner: str = "auto", **values) -> Query:
     """Fit on the year, predict the test table. ``values`` replace defaults of the grid point."""
     point = grid_points(model, {name: [value] for name, value in values.items()})[0]
 
     def query(spark, sf_dir):
-        output = _forecast(spark, sf_dir, fit_model(_training(spark, sf_dir), model, point))
+        output = _forecast(spark, sf_dir, fit_model(_training(spark, sf_dir), model, point, learner=learner))
         return output if digits is None else output.withColumn("sales", F.round("sales", digits))
 
     return query
@@ -307,6 +307,12 @@ def grid_scores_full_tree(spark, sf_dir):
     return score_report(spark, result).withColumn("mean_r2", F.round("mean_r2", 6))
 
 
+def grid_scores_levels(spark, sf_dir):
+    """The same by the learner that grows trees by levels."""
+    result = _searched(spark, sf_dir, "decision", {"max_depth": [1, 2], "max_features": [None]}, learner="levels")
+    return score_report(spark, result).withColumn("mean_r2", F.round("mean_r2", 6))
+
+
 def best_linear(spark, sf_dir):
     return best_result(spark, _searched(spark, sf_dir, "linear")).select("params", _rounded("mean_r2", 6))
 
@@ -441,12 +447,26 @@ QUERIES: dict[str, Query] = {
     "predict_linear": _predicted("linear", digits=2),
     "predict_tree": _predicted("decision", digits=2, max_depth=2, max_features=None),
     "predict_boosted_stumps": _predicted("gradient", digits=2, max_depth=1, max_features=None, n_estimators=2),
+    "predict_boosted_trees": _predicted("gradient", digits=2, n_estimators=3),
+    "predict_boosted_absolute": _predicted("gradient", digits=2, max_features=None, n_estimators=2, loss="absolute_error"),
+    "predict_boosted_huber": _predicted("gradient", digits=2, max_features=None, n_estimators=2, loss="huber"),
+    "predict_boosted_quantile": _predicted("gradient", digits=2, max_features=None, n_estimators=2, loss="quantile"),
+    "predict_tree_levels": _predicted("decision", digits=2, learner="levels", max_depth=2, max_features=None),
+    "predict_tree_sqrt": _predicted("decision", digits=2, learner="levels", max_depth=3),
+    "predict_tree_poisson": _predicted("decision", digits=2, max_depth=2, max_features=None, criterion="poisson"),
+    "predict_tree_median": _predicted("decision", digits=2, max_depth=2, max_features=None, criterion="absolute_error"),
+    "predict_tree_random": _predicted("decision", digits=2, max_depth=3, max_features=None, splitter="random"),
+    "predict_tree_stopped": _predicted(
+        "decision", digits=2, max_depth=4, max_features=None, min_samples_split=400, min_impurity_decrease=500_000.0
+    ),
+    "predict_forest_trees": _predicted("randomforest", digits=2, learner="levels", n_estimators=3),
     "predict_decision": _predicted("decision"),
     "predict_forest": _predicted("randomforest"),
     "predict_gbt": _predicted("gradient"),
     "grid_scores_linear": grid_scores_linear,
     "grid_scores_tree": grid_scores_tree,
     "grid_scores_full_tree": grid_scores_full_tree,
+    "grid_scores_levels": grid_scores_levels,
     "best_linear": best_linear,
     "csv_roundtrip": csv_roundtrip,
     "csv_roundtrip_linear": csv_roundtrip_linear,

@@ -1,4 +1,4 @@
-"""The four regressors as Spark ML estimators, and fitting one behind the preprocessor."""
+"""The four regressors as estimators, and fitting one behind the preprocessor."""
 
 from __future__ import annotations
 
@@ -7,10 +7,11 @@ from collections.abc import Mapping
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorSlicer
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.functions.columns import clip_at_zero
+from shelfcast.ml.level_learners import Boosting, LevelTrees, rules_text
 from shelfcast.ml.params import DEEPEST, grid_points
 from shelfcast.ml.preprocess import preprocessor
 from shelfcast.operators.filters import NUMERIC, feature_frame
@@ -19,6 +20,7 @@ from shelfcast.session import materialized
 COLUMNS = {"featuresCol": "features", "labelCol": "label", "predictionCol": "prediction"}
 
 LEAST_BINS = 32
+ALPHA = 0.9  # fixed value: share of the huber and quantile losses
 
 
 def distinct_values(rows: DataFrame) -> int:
@@ -31,12 +33,11 @@ def distinct_values(rows: DataFrame) -> int:
     return max(LEAST_BINS, *(count + 1 for count in counts))
 
 
-def _subset(rule: str | None, width: int) -> str:
-    """Features tried per split, as a count: the roots and logarithms are rounded down."""
+def _tried(rule: str | None, width: int) -> int | None:
+    """Features tried per split: the roots and logarithms are rounded down. None is all."""
     if rule is None:
-        return "all"
-    count = math.sqrt(width) if rule == "sqrt" else math.log2(width)
-    return str(max(1, int(count)))
+        return None
+    return max(1, int(math.sqrt(width) if rule == "sqrt" else math.log2(width)))
 
 
 def _tree_settings(params: Mapping, width: int, max_bins: int) -> dict:
@@ -44,12 +45,27 @@ def _tree_settings(params: Mapping, width: int, max_bins: int) -> dict:
         **COLUMNS,
         "maxDepth": params["max_depth"] or DEEPEST,
         "maxBins": max_bins,
-        "minInfoGain": float(params["min_impurity_decrease"]),
-        "featureSubsetStrategy": _subset(params["max_features"], width),
+        "featureSubsetStrategy": str(_tried(params["max_features"], width) or "all"),
         "checkpointInterval": 10,
     }
 
 
+def _rules(params: Mapping, width: int, seed: int, max_bins: int) -> str:
+    """The rules of trees grown by levels."""
+    names = ("criterion", "splitter", "max_depth", "min_samples_split", "min_samples_leaf", "min_weight_fraction_leaf",
+             "min_impurity_decrease")
+    given = {name: params[name] for name in names if name in params}
+    return rules_text(**given, max_features=_tried(params["max_features"], width), max_bins=max_bins, seed=seed)
+
+
+def spark_grows(params: Mapping) -> bool:
+    """Whether Spark ML's tree learner honours all values."""
+    return (
+        params["criterion"] in ("friedman_mse", "squared_error") and params.get("splitter", "best") == "best"
+        and params["min_samples_split"] == 2 and not params["min_impurity_decrease"] and (params["max_depth"] or 0) <= DEEPEST
+    )
+
+
 def linear(params: Mapping, width: int, seed: int, max_bins: int) -> Pipeline:
     """Least squares. One aggregation pass; the small normal equations are solved on the driver.
 
@@ -66,8 +82,14 @@ def linear(params: Mapping, width: int, seed: int, max_bins: int) -> Pipeline:
     return Pipeline(stages=[used, solver])
 
 
-def decision_tree(params: Mapping, width: int, seed: int, max_bins: int) -> RandomForestRegressor:
-    """A forest of one tree on all rows: unlike the plain tree it can try a subset of features."""
+def decision_tree(params: Mapping, width: int, seed: int, max_bins: int):
+    """One tree on all rows.
+
+    Where Spark ML honours the values this is its forest of one tree, which unlike its plain tree can
+    try a subset of features; else the tree is grown by levels.
+    """
+    if not spark_grows(params):
+        return deep_tree(params, width, seed, max_bins)
     return RandomForestRegressor(
         **_tree_settings(params, width, max_bins),
         numTrees=1,
@@ -79,7 +101,14 @@ def decision_tree(params: Mapping, width: int, seed: int, max_bins: int) -> Rand
     )
 
 
-def random_forest(params: Mapping, width: int, seed: int, max_bins: int) -> RandomForestRegressor:
+def deep_tree(params: Mapping, width: int, seed: int, max_bins: int) -> LevelTrees:
+    """One tree grown by levels, of any depth."""
+    return LevelTrees(rules=_rules(params, width, seed, max_bins), trees=1, bootstrap=False)
+
+
+def random_forest(params: Mapping, width: int, seed: int, max_bins: int):
+    if not spark_grows(params) or params["max_depth"] is None:
+        return repeatable_forest(params, width, seed, max_bins)
     return RandomForestRegressor(
         **_tree_settings(params, width, max_bins),
         numTrees=params["n_estimators"],
@@ -88,20 +117,16 @@ def random_forest(params: Mapping, width: int, seed: int, max_bins: int) -> Rand
     )
 
 
-def gradient_boosting(params: Mapping, width: int, seed: int, max_bins: int) -> GBTRegressor:
-    """Boosted trees.
+def repeatable_forest(params: Mapping, width: int, seed: int, max_bins: int) -> LevelTrees:
+    """A forest grown by levels: a seed repeats it on any partitioning of the rows."""
+    return LevelTrees(rules=_rules(params, width, seed, max_bins), trees=params["n_estimators"], bootstrap=True)
 
-    For squared error Spark ML fits each tree to twice the residual, so half the learning rate
-    gives the usual shrinkage. The first tree is not shrunk, where others start from the mean.
-    For absolute error Spark ML moves by the sign of the residual and does not refit the leaves.
-    """
-    loss, rate = params["loss"], float(params["learning_rate"])
-    return GBTRegressor(
-        **_tree_settings(params, width, max_bins),
-        maxIter=params["n_estimators"],
-        stepSize=rate / 2 if loss == "squared_error" else rate,
-        lossType={"squared_error": "squared", "absolute_error": "absolute"}[loss],
-        seed=seed,
+
+def gradient_boosting(params: Mapping, width: int, seed: int, max_bins: int) -> Boosting:
+    """Boosting from the mean (or the loss's best constant), every tree shrunk by the learning rate."""
+    return Boosting(
+        rules=_rules(params, width, seed, max_bins), stages=params["n_estimators"], rate=float(params["learning_rate"]),
+        loss=params["loss"], alpha=ALPHA,
     )
 
 
@@ -113,17 +138,27 @@ BUILDERS = {
 }
 
 
-def build_model(model: str, params: Mapping, width: int, seed: int = 42, max_bins: int = LEAST_BINS):
+# The same models grown by levels whatever the values, so that a seed repeats them on any partitioning.
+BY_LEVELS = {"decision": deep_tree, "randomforest": repeatable_forest, "gradient": gradient_boosting}
+LEARNERS = ("auto", "levels")
+
+
+def build_model(
+    model: str, params: Mapping, width: int, seed: int = 42, max_bins: int = LEAST_BINS, learner: str = "auto"
+):
     """Unfitted estimator for one grid point and a feature vector of ``width`` slots."""
+    if learner not in LEARNERS:
+        raise ValueError(f"learner {learner!r}: choose one of {LEARNERS}")
+    if learner == "levels" and model in BY_LEVELS:
+        return BY_LEVELS[model](params, width, seed, max_bins)
     return BUILDERS[model](params, width, seed, max_bins)
 
 
-def _check_depth(fitted, params: Mapping) -> None:
-    """Raises if a tree without a depth limit grew as deep as Spark ML allows, as it may be cut off."""
-    if params.get("max_depth", DEEPEST) is None:
-        trees = getattr(fitted, "trees", [fitted])
-        if any(tree.depth >= DEEPEST for tree in trees):
-            raise ValueError(f"max_depth=None: a tree reached depth {DEEPEST}, the most there can be; set max_depth")
+def _cut_off(fitted, params: Mapping) -> bool:
+    """Whether a tree without a depth limit grew as deep as Spark ML allows."""
+    return params.get("max_depth", DEEPEST) is None and isinstance(fitted, RandomForestRegressionModel) and any(
+        tree.depth >= DEEPEST for tree in fitted.trees
+    )
 
 
 def vector_width(vectors: DataFrame) -> int:
@@ -136,16 +171,19 @@ def with_label(df: DataFrame) -> DataFrame:
 
 
 def fit_prepared(
-    rows: DataFrame, prepared: PipelineModel, model: str, params: Mapping, seed: int, max_bins: int
+    rows: DataFrame, prepared: PipelineModel, model: str, params: Mapping, seed: int, max_bins: int, learner: str = "auto"
 ) -> PipelineModel:
     """One model fitted on stored feature rows behind a fitted preprocessor; returns both.
 
+    A tree without a depth limit that Spark ML cut off at its deepest level is grown again by levels.
+
     Vectors are assembled anew in each pass instead of being cached: the stored columns are several
     times smaller, and the tree learners keep their own binned copy.
     """
     vectors = prepared.transform(rows).select("features", "label")
-    fitted = build_model(model, params, vector_width(vectors), seed, max_bins).fit(vectors)
-    _check_depth(fitted, params)
+    fitted = build_model(model, params, vector_width(vectors), seed, max_bins, learner).fit(vectors)
+    if _cut_off(fitted, params):
+        fitted = build_model(model, params, vector_width(vectors), seed, max_bins, "levels").fit(vectors)
     return PipelineModel(stages=[prepared, fitted])
 
 
@@ -157,17 +195,20 @@ def fit_model(
     cat_strategy: str = "most_frequent",
     seed: int = 42,
     max_bins: int | None = None,
+    learner: str = "auto",
 ) -> PipelineModel:
     """Preprocessor and one model fitted on feature rows with a ``label``.
 
     The needed columns are written to the shared folder for the time of the fit, which reads them
     many times. Without ``params`` the model's default grid point is used. ``max_bins`` bounds the
-    split candidates of a tree; without it there is one per distinct value.
+    split candidates of a tree; without it there is one per distinct value. ``learner="levels"`` grows
+    trees and forests by levels even where Spark ML could: slower, but a seed repeats them on any
+    partitioning.
     """
     params = params or grid_points(model)[0]
     with materialized(feature_frame(df, "label"), "training") as rows:
         prepared = preprocessor(num_strategy, cat_strategy).fit(rows)
-        return fit_prepared(rows, prepared, model, params, seed, bins_for(model, rows, max_bins))
+        return fit_prepared(rows, prepared, model, params, seed, bins_for(model, rows, max_bins), learner)
 
 
 def bins_for(model: str, rows: DataFrame, max_bins: int | None) -> int:

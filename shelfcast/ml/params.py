@@ -1,7 +1,7 @@
 """Model grids: defaults, allowed values, and how each parameter reaches Spark ML.
 
 A grid maps parameter names to lists of values. Everything is checked before a Spark job starts. A
-value that Spark ML cannot honour is refused by name rather than replaced by something else.
+value that cannot be honoured is refused by name rather than replaced by something else.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ DEFAULT_GRIDS: dict[str, dict[str, list]] = {
 }
 
 MODELS = list(DEFAULT_GRIDS)
-DEEPEST = 30  # Spark ML's limit on tree depth
+DEEPEST = 30  # Spark ML's limit on tree depth; deeper trees are grown by levels
 
 # Accepted so that grids can be carried over, but not axes of the search: frames are immutable, and
 # parallelism is an argument of the search.
@@ -59,24 +59,34 @@ def _is_number(value) -> bool:
     return isinstance(value, (int, float)) and not isinstance(value, bool)
 
 
+# Criteria of splits, those that boosting offers, and losses.
+CRITERIA = ("friedman_mse", "squared_error", "absolute_error", "poisson")
+BOOSTING_CRITERIA = ("friedman_mse", "squared_error")
+LOSSES = ("squared_error", "absolute_error", "huber", "quantile")
+
 CHECKS: dict[str, tuple[Callable[[object], bool], str]] = {
-    "max_depth": (lambda v: v is None or _is_int(v, 1, DEEPEST), f"None or 1 to {DEEPEST}"),
+    "max_depth": (lambda v: v is None or _is_int(v, 1), "None or at least 1"),
     "max_features": (lambda v: v in ("sqrt", "log2", None), "'sqrt', 'log2' or None"),
-    "criterion": (lambda v: v in ("friedman_mse", "squared_error"), "'friedman_mse' or 'squared_error'"),
+    "criterion": (lambda v: v in CRITERIA, f"one of {CRITERIA}"),
     "min_impurity_decrease": (lambda v: _is_number(v) and v >= 0, "at least 0"),
-    "min_samples_split": (lambda v: _is_int(v, 2, 2), "2"),
+    "min_samples_split": (lambda v: _is_int(v, 2), "at least 2"),
     "min_samples_leaf": (lambda v: _is_int(v, 1), "at least 1"),
     "min_weight_fraction_leaf": (lambda v: _is_number(v) and 0 <= v < 0.5, "from 0 to below 0.5"),
-    "splitter": (lambda v: v == "best", "'best'"),
+    "splitter": (lambda v: v in ("best", "random"), "'best' or 'random'"),
     "n_estimators": (lambda v: _is_int(v, 1), "at least 1"),
-    "learning_rate": (lambda v: _is_number(v) and 0 < v <= 1, "above 0, at most 1"),
-    "loss": (lambda v: v in ("squared_error", "absolute_error"), "'squared_error' or 'absolute_error'"),
+    "learning_rate": (lambda v: _is_number(v) and v >= 0, "at least 0"),
+    "loss": (lambda v: v in LOSSES, f"one of {LOSSES}"),
     "fit_intercept": (lambda v: isinstance(v, bool), "True or False"),
     "copy_X": (lambda v: isinstance(v, bool), "True or False"),
     "n_jobs": (lambda v: _is_int(v, 0), "at least 0"),
 }
 
 
+MODEL_CHECKS = {
+    ("gradient", "criterion"): (lambda v: v in BOOSTING_CRITERIA, f"one of {BOOSTING_CRITERIA}"),
+}
+
+
 def check_grid(model: str, grid: Mapping[str, Sequence] | None = None) -> dict[str, list]:
     """The full grid of ``model``: its defaults, overridden by ``grid``. Raises on anything unusable.
 
@@ -91,7 +101,7 @@ def check_grid(model: str, grid: Mapping[str, Sequence] | None = None) -> dict[s
             raise ValueError(f"{name}: not a parameter of {model!r}, which has {list(full)}")
         full[name] = list(values)
     for name, values in full.items():
-        allowed, wording = CHECKS[name]
+        allowed, wording = MODEL_CHECKS.get((model, name), CHECKS[name])
         if not values:
             raise ValueError(f"{name}: give at least one value")
         for position, value in enumerate(values):

@@ -37,10 +37,11 @@ class SearchResult:
 
 
 def _score(
-    train: DataFrame, valid: DataFrame, prepared: PipelineModel, model: str, point: dict, seed: int, max_bins: int
+    train: DataFrame, valid: DataFrame, prepared: PipelineModel, model: str, point: dict, seed: int, max_bins: int,
+    learner: str,
 ) -> float:
     """R2 on ``valid`` of one grid point fitted on ``train``."""
-    fitted = fit_prepared(train, prepared, model, point, seed, max_bins).stages[-1]
+    fitted = fit_prepared(train, prepared, model, point, seed, max_bins, learner).stages[-1]
     scored = predict(fitted, prepared.transform(valid).select("features", "label"))
     return scored.agg(r2_score("label", "prediction")).first()[0]
 
@@ -56,13 +57,14 @@ def grid_search(
     seed: int = 42,
     order_by: Sequence[str] = ROW_ORDER,
     max_bins: int | None = None,
+    learner: str = "auto",
 ) -> SearchResult:
     """Fits every grid point on every fold, picks the best mean R2 and refits it on all rows.
 
     ``df`` has the feature columns, ``label`` and the ``order_by`` columns. Folds are contiguous in
     that order, and the preprocessor never sees the held-out one. The first grid point wins a tie.
     A failing fit raises. ``parallelism`` is the number of fits, of any fold and point, worked on at
-    the same time. ``max_bins`` is as in ``fit_model``. The sorted rows are stored for the time of
+    the same time. ``max_bins`` and ``learner`` are as in ``fit_model``. The sorted rows are stored for the time of
     the search only.
     """
     points = grid_points(model, grid)
@@ -73,7 +75,7 @@ def grid_search(
 
         def score(pair: tuple[int, int]) -> float:
             fold, point = pair
-            return _score(cut.others(fold), cut.held_out(fold), per_fold[fold], model, points[point], seed, bins)
+            return _score(cut.others(fold), cut.held_out(fold), per_fold[fold], model, points[point], seed, bins, learner)
 
         pairs = [(fold, point) for point in range(len(points)) for fold in range(folds)]
         with ThreadPool(min(parallelism, len(pairs))) as pool:
@@ -81,7 +83,7 @@ def grid_search(
         fold_scores = [scores[begin:begin + folds] for begin in range(0, len(scores), folds)]
         means = [sum(values) / folds for values in fold_scores]
         best = max(range(len(points)), key=means.__getitem__)
-        refit = fit_prepared(cut.rows(), on_all, model, points[best], seed, bins)
+        refit = fit_prepared(cut.rows(), on_all, model, points[best], seed, bins, learner)
     return SearchResult(refit, points[best], means[best], points, fold_scores, bins)
 
 
