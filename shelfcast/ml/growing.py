@@ -5,7 +5,8 @@ Rows hold ``codes`` (per feature the number of its value among the sorted distin
 its rows down the tree and adds up rows and targets per (node, feature, code), whole Arrow batches at a
 time; Spark adds up the tasks' histograms, and running totals per (node, feature) give every cut between
 neighbouring values. The best cut per open node and feature comes to the driver, never rows of the
-table. Several trees grow at once, so a forest takes as many passes as one tree. Only rows in open nodes
+table. While the histograms of all tasks together have at most ``FEW_CELLS`` cells, as those of few open
+nodes over few values do, they come to the driver instead, which saves both shuffles. Several trees grow at once, so a forest takes as many passes as one tree. Only rows in open nodes
 are read on; they are stored every ``STORE_EVERY`` levels, so a tree may be as deep as it needs to be.
 
 Everything random is drawn from a digest of (seed, tree, node, feature), never from the order or place
@@ -34,6 +35,7 @@ STORE_EVERY = 6  # levels
 MOST_VALUES = 65_536  # distinct values of a feature that are told apart at most
 MEDIAN_VALUES = 256  # the same for the median criterion, which visits every row once per cut
 MOST_CELLS = 1 << 22  # of a task's histogram that is kept whole; beyond it goes out batch by batch
+FEW_CELLS = 1 << 20  # of all tasks' histograms up to which the driver adds them up and looks for cuts
 SAME_GAIN = 1e-9
 PURE = 1e-12  # spread of a node's targets, as a share of their squares, from which it is not divided
 
@@ -154,7 +156,8 @@ class Stored:
 
 
 def histograms(rows: DataFrame, state: State, flat: Flat, steps: int, first: int, opened: int, offsets: np.ndarray) -> DataFrame:
-    """``node, feature, code, n, s, q`` of the ``opened`` nodes from ``first`` on: rows, sum and squares of targets."""
+    """``node, feature, code, n, s, q`` of the ``opened`` nodes from ``first`` on: rows, sum and squares of
+    targets. A row per task or batch; they are still to be added up."""
     ship_package(rows.sparkSession)
     size = int(offsets[-1])
 
@@ -188,8 +191,7 @@ def histograms(rows: DataFrame, state: State, flat: Flat, steps: int, first: int
             filled = np.flatnonzero(whole[0])
             yield cells(filled, [total[filled] for total in whole])
 
-    parts = rows.mapInArrow(add_up, "node int, feature int, code int, n double, s double, q double")
-    return parts.groupBy("node", "feature", "code").agg(F.expr("sum(n) AS n"), F.expr("sum(s) AS s"), F.expr("sum(q) AS q"))
+    return rows.mapInArrow(add_up, "node int, feature int, code int, n double, s double, q double")
 
 
 def _gain(criterion: str) -> str:
@@ -199,6 +201,14 @@ def _gain(criterion: str) -> str:
     return "sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n"
 
 
+def _gain_of(criterion: str, n: np.ndarray, s: np.ndarray, nl: np.ndarray, sl: np.ndarray) -> np.ndarray:
+    """``_gain`` for arrays; NaN if a cut may not be made."""
+    if criterion == "poisson":
+        gain = sl * np.log(sl / nl) + (s - sl) * np.log((s - sl) / (n - nl)) - s * np.log(s / n)
+        return np.where((sl > 0) & (s - sl > 0), gain, np.nan)
+    return sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n
+
+
 OWN = "PARTITION BY node, feature"
 
 
@@ -231,6 +241,7 @@ class Grower:
         """``state`` is for rows other than ``codes, y, w, node``; those of a tree that is stored on the
         way have to have just these columns."""
         state = state or Stored(len(self.codes.edges))
+        self.tasks = rows.rdd.getNumPartitions()
         for root in range(self.roots):
             self.nodes.add(0.0, 0)
         first, stored_level, level, opened = 0, 0, 0, list(range(self.roots))
@@ -249,7 +260,11 @@ class Grower:
         if self.rules.criterion == "absolute_error":
             here = rows.withColumn("node", descend(self.nodes, "codes", F.col("node"), steps, first))
             return self._median_cuts(here.filter(F.col("node") >= min(opened)), min(opened))
-        counts = histograms(rows, state, Flat.of(self.nodes, first), steps, min(opened), len(self.paths) - min(opened), self.codes.offsets)
+        parts = histograms(rows, state, Flat.of(self.nodes, first), steps, min(opened), len(self.paths) - min(opened), self.codes.offsets)
+        cells = (len(self.paths) - min(opened)) * int(self.codes.offsets[-1])
+        if self.rules.splitter == "best" and cells * self.tasks <= FEW_CELLS:
+            return self._added_up(parts.toArrow(), min(opened))
+        counts = parts.groupBy("node", "feature", "code").agg(F.expr("sum(n) AS n"), F.expr("sum(s) AS s"), F.expr("sum(q) AS q"))
         cuts = counts.selectExpr(
             "node", "feature", "code", f"lead(code) OVER ({OWN} ORDER BY code) AS following", "n AS nv", "s AS sv",
             f"sum(n) OVER ({OWN}) AS n", f"sum(s) OVER ({OWN}) AS s", f"sum(q) OVER ({OWN}) AS q",
@@ -272,9 +287,52 @@ class Grower:
         best = _first_best(gains, "struct(code, following, cut, nl, sl, gain)", "any_value(n) AS n", "any_value(s) AS s", "any_value(least < most) AS varies")
         return [self._read(row) for row in best.collect()]
 
+    def _added_up(self, parts: pa.Table, first: int) -> list[Best]:
+        """The same cuts from the histograms of all tasks."""
+        rules, offsets, size = self.rules, self.codes.offsets, int(self.codes.offsets[-1])
+        node, feature, code, *sums = (parts.column(name).to_numpy() for name in ("node", "feature", "code", "n", "s", "q"))
+        keys, length = (node - first) * size + offsets[feature] + code, (len(self.paths) - first) * size
+        whole = [np.bincount(keys, values, length).reshape(-1, size) for values in sums]
+        found = []
+        for feature in range(len(self.codes.edges)):
+            n, s, q = (total[:, offsets[feature]:offsets[feature + 1]] for total in whole)
+            nl, sl = n.cumsum(axis=1), s.cumsum(axis=1)
+            rows, total, squares = nl[:, -1:], sl[:, -1:], q.sum(axis=1, keepdims=True)
+            if first < self.roots:
+                for root in range(self.roots):
+                    self._start(root, rows[root, 0], total[root, 0])
+            weight = np.array([self.whole[tree] for tree in self.tree[first:]])[:, None]
+            least = np.maximum(rules.min_samples_leaf, rules.min_weight_fraction_leaf * weight)
+            there = n > 0
+            last = there.shape[1] - 1 - there[:, ::-1].argmax(axis=1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                allowed = (
+                    there & (np.arange(there.shape[1]) < last[:, None]) & (rows >= rules.min_samples_split)
+                    & (squares - total * total / rows > PURE * squares) & (nl >= least) & (rows - nl >= least)
+                )
+                gain = _gain_of(rules.criterion, rows, total, nl, sl)
+            gain = np.where(allowed & ~np.isnan(gain), gain, -np.inf)
+            top = gain.max(axis=1)
+            near = np.isfinite(gain) & (gain >= (top - SAME_GAIN * np.abs(top))[:, None])
+            for at in np.flatnonzero(rows[:, 0] > 0).tolist():
+                varies = bool(there[at].argmax() < last[at])
+                if not near[at].any():
+                    found.append(Best(first + at, feature, rows[at, 0], varies, *[None] * 6))
+                    continue
+                best = int(near[at].argmax())
+                following = best + 1 + int(there[at, best + 1:].argmax())
+                left, right = sl[at, best] / nl[at, best], (total[at, 0] - sl[at, best]) / (rows[at, 0] - nl[at, best])
+                cut = self.codes.cut(feature, best, following)
+                found.append(Best(first + at, feature, rows[at, 0], varies, gain[at, best], best, cut, nl[at, best], left, right))
+        return found
+
+    def _start(self, root: int, rows: float, total: float) -> None:
+        if rows and not self.whole[root]:
+            self.whole[root], self.nodes.value[root] = float(rows), float(total / rows)
+
     def _read(self, row) -> Best:
-        if row["node"] < self.roots and not self.whole[row["node"]]:
-            self.whole[row["node"]], self.nodes.value[row["node"]] = row["n"], row["s"] / row["n"]
+        if row["node"] < self.roots:
+            self._start(row["node"], row["n"], row["s"])
         own = row["best"]
         if own is None:
             return Best(row["node"], row["feature"], row["n"], row["varies"], *[None] * 6)
