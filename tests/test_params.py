@@ -1,5 +1,8 @@
+import json
+
 import pytest
 
+from shelfcast.ml.level_learners import LevelTrees
 from shelfcast.ml.models import build_model
 from shelfcast.ml.params import DEFAULT_GRIDS, check_grid, grid_points
 
@@ -22,14 +25,14 @@ def test_arguments_without_effect_are_no_axes():
 
 
 @pytest.mark.parametrize("model, name, value", [
-    ("decision", "max_depth", 0), ("decision", "max_depth", 31), ("decision", "max_depth", "3"),
+    ("decision", "max_depth", 0), ("decision", "max_depth", "3"),
     ("decision", "max_depth", True), ("decision", "max_features", "int"), ("decision", "max_features", "float"),
-    ("decision", "criterion", "poisson"), ("randomforest", "criterion", "absolute_error"),
-    ("decision", "min_impurity_decrease", -0.1), ("decision", "min_samples_split", 3),
+    ("decision", "criterion", "gini"), ("gradient", "criterion", "poisson"), ("gradient", "criterion", "absolute_error"),
+    ("decision", "min_impurity_decrease", -0.1), ("decision", "min_samples_split", 1), ("decision", "min_samples_split", 2.0),
     ("decision", "min_samples_leaf", 0), ("randomforest", "min_samples_leaf", 0),
-    ("decision", "min_weight_fraction_leaf", 0.5), ("decision", "splitter", "random"),
-    ("randomforest", "n_estimators", 0), ("gradient", "learning_rate", 0), ("gradient", "learning_rate", 1.5),
-    ("gradient", "loss", "huber"), ("gradient", "loss", "quantile"), ("linear", "fit_intercept", 1),
+    ("decision", "min_weight_fraction_leaf", 0.5), ("decision", "splitter", "worst"),
+    ("randomforest", "n_estimators", 0), ("gradient", "learning_rate", -0.1), ("gradient", "learning_rate", "1"),
+    ("gradient", "loss", "deviance"), ("linear", "fit_intercept", 1),
     ("linear", "n_jobs", -1),
 ])
 def test_refused_values_name_the_parameter(model, name, value):
@@ -55,7 +58,31 @@ def test_mapping_to_spark(spark):
     assert tree.getFeatureSubsetStrategy() == "6"
     forest = build_model("randomforest", grid_points("randomforest", {"max_features": ["log2"]})[0], 37)
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getFeatureSubsetStrategy()) == (100, 2, "5")
-    boosted = build_model("gradient", grid_points("gradient", {"loss": ["absolute_error"], "max_features": [None]})[0], 37)
-    assert (boosted.getMaxIter(), boosted.getStepSize(), boosted.getLossType()) == (100, 0.1, "absolute")
-    assert boosted.getFeatureSubsetStrategy() == "all"
-    assert build_model("gradient", grid_points("gradient")[0], 37).getStepSize() == 0.05
+
+
+@pytest.mark.parametrize("model, values", [
+    ("decision", {"criterion": "poisson"}), ("decision", {"criterion": "absolute_error"}), ("decision", {"splitter": "random"}),
+    ("decision", {"min_samples_split": 3}), ("decision", {"min_impurity_decrease": 0.5}), ("decision", {"max_depth": 31}),
+    ("randomforest", {"min_samples_split": 3}), ("randomforest", {"criterion": "poisson"}),
+])
+def test_values_beyond_spark_are_grown_by_levels(spark, model, values):
+    point = grid_points(model, {name: [value] for name, value in values.items()})[0]
+    learner = build_model(model, point, 37)
+    assert isinstance(learner, LevelTrees)
+    rules = json.loads(learner.getOrDefault(learner.rules))
+    assert {name: rules[name] for name in values} == values and rules["max_features"] == 6
+
+
+def test_mapping_of_boosting(spark):
+    point = grid_points("gradient", {"loss": ["huber"], "max_features": [None], "learning_rate": [1.5]})[0]
+    boosted = build_model("gradient", point, 37, seed=7)
+    assert [boosted.getOrDefault(name) for name in ("stages", "rate", "loss", "alpha")] == [100, 1.5, "huber", 0.9]
+    rules = json.loads(boosted.getOrDefault(boosted.rules))
+    assert (rules["max_depth"], rules["max_features"], rules["seed"]) == (2, None, 7)
+
+
+def test_learners(spark):
+    point = grid_points("randomforest")[0]
+    assert build_model("randomforest", point, 37, learner="levels").getOrDefault("trees") == 100
+    with pytest.raises(ValueError, match="learner"):
+        build_model("randomforest", point, 37, learner="best")
