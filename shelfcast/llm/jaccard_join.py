@@ -10,7 +10,8 @@ cut into size bands, so only sizes within a ratio of 3 to 4 meet.
    a turn as nodes, which settle large groups of near copies. The links give first components.
 2. In tiles that still hold several components, nodes of different ones are compared by bitmap
    signatures, as wide as their sets are large: a set flips the bit of each element, so differing bits of two signatures bound the
-   difference of the sets from below and their overlap from above. Only pairs that pass are emitted.
+   difference of the sets from below and their overlap from above. Only pairs that pass are emitted, and
+   a pair with a common one among either's first ``FIRST`` prefix shingles only in the tile of the first of these.
 3. Passing pairs are verified by intersecting sorted arrays of the whole sets.
 
 No pair of linked nodes is missed: it shares a tile, and there it is in one component already or
@@ -28,7 +29,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfcast.llm.columns import fresh, settle, ship
+from shelfcast.llm.columns import fresh, ship
+from shelfcast.llm.components import components
 from shelfcast.llm.encoding import slices
 from shelfcast.llm.tables import Put, scratch, stored
 from shelfcast.llm.word_hashes import mixed, runs, words_of
@@ -42,6 +44,7 @@ MEMBERS = 200  # verified against one copy of a text
 BLOCK = 4096  # nodes of a tile compared with at once
 FEW = 64  # rows up to which tiles are compared together with others
 PAIRS = 100_000  # of such tiles, about, at a time
+FIRST = 8  # prefix shingles that tell in which tile two nodes meet first
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -201,10 +204,10 @@ def _tiles(prefixes: DataFrame, put: Put) -> DataFrame:
             extra = [single] if goes_on and single else []
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.r_[[row[0] for row in extra], shingle[kept]].astype(np.int64)),
-                    pa.array(np.r_[[row[1] for row in extra], size[kept]].astype(np.int32)),
-                    pa.array(np.r_[[row[2] for row in extra], node[kept]].astype(np.int64)),
-                    pa.array(np.r_[[row[2] for row in extra], leaders[kept]].astype(np.int64)),
+                    pa.array(np.r_[np.array([row[0] for row in extra], np.int64), shingle[kept]]),
+                    pa.array(np.r_[np.array([row[1] for row in extra], np.int32), size[kept]]),
+                    pa.array(np.r_[np.array([row[2] for row in extra], np.int64), node[kept]]),
+                    pa.array(np.r_[np.array([row[2] for row in extra], np.int64), leaders[kept]]),
                 ],
                 ["shingle", "size", "node", "leader"],
             )
@@ -251,7 +254,36 @@ def _passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.filter(may("size_a", "size_b", "bits_a", "bits_b")).select("a", "b")
 
 
-def _across(tiles: DataFrame, nodes: DataFrame, labels: DataFrame, put: Put) -> DataFrame:
+def _firsts(texts: DataFrame, common: np.ndarray) -> DataFrame:
+    """``node, firsts``: the first shingles of each node's prefix, its own number in place of missing ones."""
+
+    def find(batches):
+        for part, raw in _text_batches(batches, 1):
+            own = []
+            for node, shingles in zip(part.column(0).to_pylist(), shingle_sets(raw)):
+                row = np.full(FIRST, node, np.uint64)
+                found = prefix(shingles, common)[:FIRST]
+                row[:len(found)] = found
+                own.append(row.tobytes())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.binary())], ["node", "firsts"])
+
+    return texts.select("node", "text").mapInArrow(find, "node bigint, firsts binary")
+
+
+def _meet_first(firsts: np.ndarray, shingles: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Whether no earlier shingle than the tile's is known to be in the prefixes of both rows.
+
+    All prefixes follow one order, so the first shingle of one row's that the other has too is the first
+    of all common ones, and the pair is found in its tile.
+    """
+    shared = (firsts[one][:, :, None] == firsts[two][:, None, :]).any(axis=2)
+    first = firsts[one, shared.argmax(axis=1)] if len(one) else np.zeros(0, np.uint64)
+    return ~shared.any(axis=1) | (first == shingles[one])
+
+
+def _across(
+    tiles: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFrame, common: np.ndarray, put: Put
+) -> DataFrame:
     """Pairs of one tile in different components that pass by size and signature."""
     named = tiles.select("shingle", "node").join(labels, "node", "left").select(
         "shingle", "node", F.coalesce("label", "node").alias("label")
@@ -259,7 +291,9 @@ def _across(tiles: DataFrame, nodes: DataFrame, labels: DataFrame, put: Put) ->
     several = named.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
     # Stored, so that the join reads two plain exchanges and Spark can split a very common shingle.
     rows = put(named.join(put(several.select("shingle"), "mixed-shingles"), "shingle"), "mixed-tiles")
-    full = rows.join(nodes.select("node", "size", "bits"), "node").select("shingle", "size", "node", "label", "bits")
+    firsts = _firsts(texts.join(rows.select("node").distinct(), "node"), common)
+    described = put(nodes.select("node", "size", "bits").join(firsts, "node"), "mixed-nodes")
+    full = rows.join(described, "node").select("shingle", "size", "node", "label", "bits", "firsts")
 
     def compare(batches):
         from itertools import chain
@@ -285,7 +319,7 @@ def _across(tiles: DataFrame, nodes: DataFrame, labels: DataFrame, put: Put) ->
     return ordered.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def _compared_at_once(size, node, label, bits, begins, ends) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def _compared_at_once(size, node, label, bits, firsts, shingles, begins, ends) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Passing pairs of small tiles, all pairs of a stretch of tiles at a time."""
     left, right = [], []
     counts = (ends - begins) * (ends - begins - 1) // 2
@@ -316,7 +350,9 @@ def _compared_at_once(size, node, label, bits, begins, ends) -> tuple[list[np.nd
                         bits_a[np.searchsorted(rows_a, one[picked])], bits_b[np.searchsorted(rows_b, two[picked])]
                     )
         passed = _may_link(size[one] + size[two], differing)
-        one, two = node[one[passed]], node[two[passed]]
+        one, two = one[passed], two[passed]
+        here = _meet_first(firsts, shingles, one, two)
+        one, two = node[one[here]], node[two[here]]
         left.append(np.minimum(one, two))
         right.append(np.maximum(one, two))
     return left, right
@@ -324,9 +360,10 @@ def _compared_at_once(size, node, label, bits, begins, ends) -> tuple[list[np.nd
 
 def _compared(table: pa.Table, begins: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
     size, node, label = (table.column(name).to_numpy().astype(np.int64) for name in ("size", "node", "label"))
-    bits = table.column("bits").to_pylist()
+    bits, shingles = table.column("bits").to_pylist(), table.column("shingle").to_numpy().view(np.uint64)
+    firsts = np.frombuffer(b"".join(table.column("firsts").to_pylist()), np.uint64).reshape(-1, FIRST)
     few = ends - begins <= FEW
-    left, right = _compared_at_once(size, node, label, bits, begins[few], ends[few])
+    left, right = _compared_at_once(size, node, label, bits, firsts, shingles, begins[few], ends[few])
     for begin, end in zip(begins[~few].tolist(), ends[~few].tolist()):
         values, counts = np.unique(label[begin:end], return_counts=True)
         main = values[counts.argmax()]
@@ -347,6 +384,7 @@ def _compared(table: pa.Table, begins: np.ndarray, ends: np.ndarray) -> pa.Recor
                     other = np.arange(block, min(block + BLOCK, high, most))
                     other = other[(label[other] == main) | ((label[other] != label[one]) & (other < one))]
                     passed = other[_may_link(size[one] + size[other], _differing(own, rows[other - low]))]
+                    passed = passed[_meet_first(firsts, shingles, np.full(len(passed), one), passed)]
                     left.append(np.minimum(node[one], node[passed]))
                     right.append(np.maximum(node[one], node[passed]))
     columns = [np.concatenate(part) if part else np.zeros(0, np.int64) for part in (left, right)]
@@ -389,23 +427,23 @@ def _verified(pairs: DataFrame, texts: DataFrame, put: Put) -> DataFrame:
     return put(ordered.mapInArrow(verify, "a bigint, b bigint"), "verified-links")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``node, label`` of all linked nodes; the label is the smallest node reachable.
+def _joined(labels: DataFrame | None, links: DataFrame, put: Put) -> DataFrame:
+    """``node, label`` after further links; the label is the smallest node reachable.
 
-    Every round takes the smallest label among neighbours, then the label of that label.
+    Links are first taken between labels, so that what is joined already is not gone through again.
     """
-    both = settle(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = settle(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("label")))
-    while True:
-        heard = both.join(labels, both["a"] == labels["node"]).groupBy("b").agg(F.min("label").alias("heard"))
-        lower = labels.join(heard, labels["node"] == heard["b"]).select("node", "label", F.least("label", "heard").alias("lower"))
-        lower = settle(lower)
-        onward = lower.select(F.col("node").alias("lower"), F.col("lower").alias("onward"))
-        jumped = settle(lower.join(onward, "lower").select("node", F.least("lower", "onward").alias("new"), "label"))
-        changed = jumped.filter("new < label").limit(1).count()
-        labels = jumped.select("node", F.col("new").alias("label"))
-        if not changed:
-            return labels
+    if labels is None:
+        return components(links, put)
+    ends = links
+    for side in "ab":
+        own = labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+        ends = ends.join(own, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
+    between = put(ends.filter("label_a <> label_b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct(), "label-links")
+    moved = components(between, put)
+    fresh_ends = between.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti")
+    every = labels.unionByName(fresh_ends.select("node", F.col("node").alias("label")))
+    onward = moved.select(F.col("node").alias("label"), F.col("label").alias("onward"))
+    return put(every.join(onward, "label", "left").select("node", F.coalesce("onward", "label").alias("label")), "labels")
 
 
 def _one_leader(led: DataFrame, turn: int) -> DataFrame:
@@ -439,16 +477,16 @@ def _labelled(docs: DataFrame, put: Put) -> DataFrame:
     led = put(tiles.filter("node <> leader").select("node", "leader").distinct(), "led-nodes")
     # A node of a large group has many leaders; one is tried at a time, while it is still apart from
     # it, so that groups grow together from ever fewer parts.
-    links, labels, apart = None, None, led
+    labels, apart = None, led
     for turn in range(LEADERS):
         new = _verified(_passing(_one_leader(apart, turn), nodes), texts, put)
-        if links is not None and not new.limit(1).count():
+        if labels is not None and new.isEmpty():
+            break
+        labels = _joined(labels, new, put)
+        apart = put(_apart(led, labels), "apart")
+        if apart.isEmpty():
             break
-        links = new if links is None else links.union(new)
-        labels = components(links)
-        apart = _apart(led, labels)
-    links = links.union(_verified(_across(tiles, nodes, labels, put), texts, put))
-    labels = components(links)
+    labels = _joined(labels, _verified(_across(tiles, nodes, labels, texts, common, put), texts, put), put)
     placed = described.join(nodes.select("one", "two", "node"), ["one", "two"], "left").join(labels, "node", "left")
     placed = put(placed.select("doc_id", "text_hash", "size", F.coalesce("label", "node").alias("label")), "labelled")
     smallest = put(placed.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("smallest")), "smallest")
