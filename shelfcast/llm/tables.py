@@ -45,7 +45,8 @@ Put = Callable[[DataFrame, str], DataFrame]
 def scratch(spark: SparkSession) -> Iterator[Put]:
     """``stored`` for the length of a block, at whose end the files are deleted.
 
-    What leaves the block must be stored elsewhere.
+    What leaves the block must be stored elsewhere. Shuffle files of every action in the block are freed
+    when it is done.
     """
     paths = []
 
@@ -55,7 +56,8 @@ def scratch(spark: SparkSession) -> Iterator[Put]:
         return table
 
     try:
-        yield put
+        with _freeing_shuffles(spark):
+            yield put
     finally:
         for path in paths:
             delete(spark, path)
