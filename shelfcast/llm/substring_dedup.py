@@ -200,18 +200,20 @@ def _segments(windows: DataFrame, references: DataFrame) -> DataFrame:
 def _passages(spans: DataFrame, candidates: DataFrame, length: int) -> DataFrame:
     """Adds the words of ``spans`` (``base, start, windows, ...``) joined by one space, as ``words``."""
 
-    @F.arrow_udf("string")
+    @F.arrow_udf("array<string>")
     def cut(texts: pa.Array, starts: pa.Array, windows: pa.Array) -> pa.Array:
-        found, before, words = [], None, []
-        for text, start, count in zip(texts, starts.to_pylist(), windows.to_pylist()):
-            raw = text.as_py()
-            if raw is not before and raw != before:
-                before, words = raw, raw.encode().split()
-            found.append(b" ".join(words[start:start + count + length - 1]).decode())
-        return pa.array(found, pa.string())
-
-    joined = spans.join(candidates.select("base", "text"), "base")
-    return joined.select(*spans.columns, cut("text", "start", "windows").alias("words"))
+        found = []
+        for text, own, counts in zip(texts, starts.to_pylist(), windows.to_pylist()):
+            words = text.as_py().encode().split()
+            found.append([b" ".join(words[start:start + count + length - 1]).decode() for start, count in zip(own, counts)])
+        return pa.array(found, pa.list_(pa.string()))
+
+    # A text meets its spans once, however many they are.
+    rest = [column for column in spans.columns if column != "base"]
+    grouped = spans.groupBy("base").agg(F.collect_list(F.struct(*rest)).alias("spans"))
+    joined = grouped.join(candidates.select("base", "text"), "base")
+    cuts = joined.select("base", F.explode(F.arrays_zip("spans", cut("text", "spans.start", "spans.windows").alias("words"))).alias("cut"))
+    return cuts.select("base", *[F.col(f"cut.spans.{column}").alias(column) for column in rest], "cut.words").select(*spans.columns, "words")
 
 
 class SuffixAutomaton:
