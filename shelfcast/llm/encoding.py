@@ -97,6 +97,7 @@ class ChunkEncoder:
     def _ids_of(self, keys: list) -> list[list[int]]:
         """Ids of chunks: of every match of the pre-tokenizer's pattern, one after another."""
         tokenize, letters, matches, pieces = self.tokenizer.model.tokenize, self.letters, self.matches, {}
+        remembered, known, space = self.memo.get, self.known, self.letters[0x20]
         found = []
         for key in keys:
             if key.__class__ is str and key.isalpha():
@@ -105,11 +106,21 @@ class ChunkEncoder:
                 parts = matches(" " + key if key.__class__ is str else key[0])
             ids = []
             for part in parts:
-                known = pieces.get(part)
-                if known is None:
-                    word = part.encode().decode("latin-1").translate(letters)
-                    known = pieces[part] = [token.id for token in tokenize(word)]
-                ids += known
+                own = pieces.get(part)
+                if own is None:
+                    spaced = part[0] == " "
+                    number = remembered(part[1:], known) if spaced else known
+                    if number < known:  # the match is a chunk that was seen before
+                        start = self.starts[number]
+                        own = self.ids[start:start + self.sizes[number]].tolist()
+                    else:
+                        if spaced and part[1:].isalnum() and part.isascii():  # bytes that stand for themselves
+                            word = space + part[1:]
+                        else:
+                            word = part.encode().decode("latin-1").translate(letters)
+                        own = [token.id for token in tokenize(word)]
+                    pieces[part] = own
+                ids += own
             found.append(ids)
         return found
 
