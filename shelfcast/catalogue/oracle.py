@@ -358,6 +358,21 @@ def _tree_grid_point(number: int, depth: int, features: str) -> str:
     return f"SELECT {number} AS grid_point, '{params}' AS params, CAST(1 AS BIGINT) AS best_points"
 
 
+def _edge(axis: str, cells: int) -> str:
+    """Lower edge of the part of an axis that a value is in, given the extremes over all rows."""
+    low, high = f"min({axis}) OVER ()", f"max({axis}) OVER ()"
+    part = f"least(floor(({axis} - {low}) * {cells} / nullif({high} - {low}, 0)), {cells - 1})"
+    return f"{low} + coalesce({part}, 0) * (({high} - {low}) / {cells})"
+
+
+def _grid(x: str, y: str, z: str, rows: str, cells: int, day: bool = False) -> str:
+    """Counts per cell of the axes; x is a date (``day``) or a text."""
+    first = f"DATE '1970-01-01' + CAST(floor({_edge('x', cells)}) AS INTEGER)" if day else "x"
+    return _q(f"""SELECT x, round(y, 6) AS y, round(z, 6) AS z, count(*) AS count FROM (
+        SELECT {first} AS x, {_edge('y', cells)} AS y, {_edge('z', cells)} AS z
+        FROM (SELECT {x} AS x, ({y})::DOUBLE AS y, ({z})::DOUBLE AS z FROM {rows}) a) b GROUP BY x, y, z""")
+
+
 GRID_SCORES_FULL_TREE = _q(
     f""", {_tree(1, OTHER_FOLDS, HELD_OUT_FOLD)}, {_tree(2, OTHER_FOLDS, HELD_OUT_FOLD)},
     scores AS (SELECT 0 AS grid_point, '{_tree_params(1)}' AS params, ({_mean_r2("tree1")}) AS mean_r2 UNION ALL
@@ -499,6 +514,21 @@ ORACLE: dict[str, str] = {
     "scatter_features": _q(
         "SELECT family AS x, store_nbr AS y, coalesce(dcoilwtico, 0) AS z FROM enriched"
     ),
+    "scatter_transactions_counts": _q(
+        "SELECT store_nbr AS x, store_nbr AS y, transactions AS z, count(*) AS count FROM transactions GROUP BY ALL"
+    ),
+    "scatter_transactions_grid": _grid("(date - DATE '1970-01-01')::DOUBLE", "store_nbr", "transactions", "transactions", 20, day=True),
+    "scatter_features_grid": _grid("family", "store_nbr", "coalesce(dcoilwtico, 0)", "enriched", 10),
+    "line_store_oil_columns": _q(
+        """, placed AS (SELECT row_number() OVER (ORDER BY date, store_nbr, family, type) - 1 AS place, count(*) OVER () AS rows,
+                           store_nbr AS x, coalesce(dcoilwtico, 0) AS y FROM enriched),
+           cut AS (SELECT *, CAST(floor(place * 100 / rows) AS INTEGER) AS col FROM placed),
+           ranked AS (SELECT *, row_number() OVER (PARTITION BY col ORDER BY place) AS a,
+                             row_number() OVER (PARTITION BY col ORDER BY place DESC) AS b,
+                             row_number() OVER (PARTITION BY col ORDER BY y, place) AS c,
+                             row_number() OVER (PARTITION BY col ORDER BY y DESC, place) AS d FROM cut)
+           SELECT col AS "column", place, x, y FROM ranked WHERE least(a, b, c, d) = 1 ORDER BY place"""
+    ),
     "bar_store_promo": _q(
         "SELECT store_nbr AS x, CAST(sum(onpromotion) AS BIGINT) AS y FROM enriched GROUP BY store_nbr"
     ),

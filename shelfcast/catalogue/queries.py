@@ -366,6 +366,19 @@ def scatter_features(spark, sf_dir):
     return charts.scatter_features(_features(spark, sf_dir), "family", "store_nbr", "dcoilwtico")
 
 
+def scatter_transactions_counts(spark, sf_dir):
+    return charts.scatter_counts(charts.scatter_transactions(stand_ins.transactions(spark, sf_dir), "store_nbr", "store_nbr", "transactions"))
+
+
+def scatter_transactions_grid(spark, sf_dir):
+    points = charts.scatter_transactions(stand_ins.transactions(spark, sf_dir), "datetime", "store_nbr", "transactions")
+    return charts.scatter_grid(points, 20).withColumns({axis: F.round(axis, 6) for axis in "yz"})
+
+
+def scatter_features_grid(spark, sf_dir):
+    return charts.scatter_grid(scatter_features(spark, sf_dir), 10).withColumns({axis: F.round(axis, 6) for axis in "yz"})
+
+
 def bar_store_promo(spark, sf_dir):
     return charts.bar_data(_features(spark, sf_dir), "store_nbr", "onpromotion")
 
@@ -374,6 +387,10 @@ def line_store_promo(spark, sf_dir):
     return charts.line_data(_features(spark, sf_dir), "store_nbr", "onpromotion", *ROW_ORDER)
 
 
+def line_store_oil_columns(spark, sf_dir):
+    return charts.line_columns(_features(spark, sf_dir), "store_nbr", "dcoilwtico", *ROW_ORDER, columns=100)
+
+
 def line_store_promo_summary(spark, sf_dir):
     return charts.line_summary(_features(spark, sf_dir), "store_nbr", "onpromotion").withColumn(
         "y_mean", F.round("y_mean", 6)
@@ -485,6 +502,10 @@ QUERIES: dict[str, Query] = {
     "scatter_transactions": scatter_transactions,
     "scatter_daily": scatter_daily,
     "scatter_features": scatter_features,
+    "scatter_transactions_counts": scatter_transactions_counts,
+    "scatter_transactions_grid": scatter_transactions_grid,
+    "scatter_features_grid": scatter_features_grid,
+    "line_store_oil_columns": line_store_oil_columns,
     "bar_store_promo": bar_store_promo,
     "line_store_promo": line_store_promo,
     "line_store_promo_summary": line_store_promo_summary,

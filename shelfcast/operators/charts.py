@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from shelfcast.operators.aggregates import value_counts
 from shelfcast.operators.filters import CATEGORICAL, NUMERIC, fill_zero
-from shelfcast.session import materialized
+from shelfcast.operators.ordering import in_order
+from shelfcast.session import materialize, materialized
 
 # Column names the charts offer.
 TRANSACTION_AXES = ["date", "store_nbr", "transactions", "datetime"]
@@ -32,6 +33,37 @@ def scatter_data(df: DataFrame, x: str, y: str, z: str) -> DataFrame:
     return filled.select(F.col(x).alias("x"), F.col(y).alias("y"), F.col(z).alias("z"))
 
 
+def scatter_counts(points: DataFrame) -> DataFrame:
+    """Points of a scatter, equal ones merged: ``x, y, z, count``. There are as many as distinct points."""
+    return points.groupBy("x", "y", "z").agg(F.count(F.lit(1)).alias("count"))
+
+
+def scatter_grid(points: DataFrame, cells: int = 50) -> DataFrame:
+    """Points of a scatter counted in a grid: ``x, y, z, count`` of the cells that hold any.
+
+    Every number or date axis is cut into ``cells`` parts of equal width between its extremes and is given
+    by the lower edge of the part, a date's rounded down to a day; the last part includes the upper
+    extreme. A text axis keeps its values, and missing dates and texts stay NULL.
+    """
+    if cells < 1:
+        raise ValueError("cells must be at least 1")
+    merged, kinds = scatter_counts(points), {field.name: field.dataType for field in points.schema}
+    axes = [axis for axis in "xyz" if not isinstance(kinds[axis], T.StringType)]
+
+    def number(axis: str) -> Column:
+        return F.unix_date(axis).cast("double") if isinstance(kinds[axis], T.DateType) else F.col(axis).cast("double")
+
+    edges = {}
+    for axis in axes:
+        span = merged.agg(F.struct(F.min(number(axis)).alias("low"), F.max(number(axis)).alias("high"))).scalar()
+        low, high = span.getField("low"), span.getField("high")
+        part = F.coalesce(F.least(F.width_bucket(number(axis), low, high, F.lit(cells)), F.lit(cells)), F.lit(1)) - 1
+        edge = F.when(number(axis).isNotNull(), low + part * ((high - low) / cells))
+        edges[axis] = F.date_from_unix_date(F.floor(edge).cast("int")) if isinstance(kinds[axis], T.DateType) else edge
+    cut = merged.select(*[edges.get(axis, F.col(axis)).alias(axis) for axis in "xyz"], "count")
+    return cut.groupBy("x", "y", "z").agg(F.sum("count").alias("count"))
+
+
 def scatter_transactions(transactions: DataFrame, x: str, y: str, z: str) -> DataFrame:
     return scatter_data(transactions.withColumn("datetime", F.col("date")).select(*TRANSACTION_AXES), x, y, z)
 
@@ -63,6 +95,36 @@ def line_data(df: DataFrame, x: str, y: str, *order_by: str) -> DataFrame:
     return ordered.select(F.col(x).alias("x"), F.col(y).alias("y"))
 
 
+def line_columns(df: DataFrame, x: str, y: str, *order_by: str, columns: int = 1000) -> DataFrame:
+    """The line in row order for a plot that is ``columns`` wide: ``column, place, x, y``, by ``place``.
+
+    Rows in order are cut into ``columns`` stretches that differ by one row at most. Of each the first,
+    the last, the lowest and the highest point stay (the earliest of equal ones), so it is drawn as the
+    whole line would be. ``place`` is the row's number in the order, from 0. Rows are sorted over all
+    tasks and stored; only row counts per task reach the driver.
+    """
+    _require(df, x)
+    _require(df, y)
+    if columns < 1:
+        raise ValueError("columns must be at least 1")
+    filled = fill_zero(df, list(dict.fromkeys([x, y])))
+    stored = materialize(in_order(filled, order_by), "line")
+    tasks = stored.groupBy("task").count().orderBy("task").collect()
+    before = accumulate([row["count"] for row in tasks], initial=0)
+    begins = F.create_map(*[F.lit(part) for row, begin in zip(tasks, before) for part in (row["task"], begin)]) if tasks else F.create_map()
+    rows = max(1, sum(row["count"] for row in tasks))
+    place = (F.try_element_at(begins, F.col("task")) + F.col("position")) if tasks else F.lit(0).cast("long")
+    points = stored.select(place.alias("place"), F.col(x).alias("x"), F.col(y).alias("y"))
+    column = F.floor(F.col("place") * columns / rows).cast("int").alias("column")
+    point = F.struct("place", "x", "y")
+    kept = points.groupBy(column).agg(
+        F.array_distinct(F.array(
+            F.min(point), F.max(point), F.min_by(point, F.struct("y", "place")), F.max_by(point, F.struct(F.col("y"), -F.col("place")))
+        )).alias("points")
+    )
+    return kept.select("column", F.explode("points").alias("point")).select("column", "point.*").orderBy("place")
+
+
 def line_summary(df: DataFrame, x: str, y: str) -> DataFrame:
     """The same line for plotting at scale: range and mean of ``y`` per ``x``."""
     _require(df, x)

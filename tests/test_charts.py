@@ -26,6 +26,26 @@ def test_scatter_axes_may_repeat(features):
     assert rows(charts.scatter_features(features, "store_nbr", "store_nbr", "store_nbr"), "x")[0] == (1, 1, 1)
 
 
+def test_scatter_merges_equal_points(features):
+    points = charts.scatter_features(features, "onpromotion", "is_holiday", "is_holiday")
+    assert rows(charts.scatter_counts(points), "x", "y") == [(0, 0, 0, 2), (1, 0, 0, 2), (1, 1, 1, 1)]
+
+
+def test_scatter_grid_counts_every_row(spark, features):
+    points = charts.scatter_features(features, "family", "store_nbr", "dcoilwtico")
+    # stores 1, 2, 3 share the lower half of 1 to 54, prices 0, 1 that of 0 to 4
+    assert rows(charts.scatter_grid(points, 2), "x", "y", "z") == [
+        (None, 1.0, 2.0, 1), ("A", 1.0, 0.0, 2), ("B", 1.0, 2.0, 1), ("B", 27.5, 2.0, 1)
+    ]
+    days = spark.createDataFrame([(day(f"2017-01-{n:02}"), 1, n) for n in (1, 2, 3, 10, 11)] + [(None, 1, 1)], "x date, y int, z int")
+    assert rows(charts.scatter_grid(days, 2), "x") == [
+        (None, 1.0, 1.0, 1), (day("2017-01-01"), 1.0, 1.0, 3), (day("2017-01-06"), 1.0, 6.0, 2)
+    ]
+    assert charts.scatter_grid(days.limit(0), 3).collect() == []
+    with pytest.raises(ValueError, match="cells"):
+        charts.scatter_grid(days, 0)
+
+
 def test_scatter_refusals(features):
     with pytest.raises(ValueError, match="family"):
         charts.scatter_features(features, "store_nbr", "onpromotion", "family")
@@ -57,6 +77,24 @@ def test_line_keeps_order(features):
     ]
 
 
+def test_line_columns_keep_ends_and_extremes(spark):
+    values = [int(v) for v in np.random.default_rng(4).integers(0, 50, 1003)]
+    df = spark.createDataFrame(list(enumerate(values)), "n int, v int").repartition(7)
+    got = [tuple(r) for r in charts.line_columns(df, "n", "v", "n", columns=20).collect()]
+    expected = []
+    for column in range(20):
+        own = [place for place in range(1003) if place * 20 // 1003 == column]
+        lowest, highest = min(own, key=lambda p: (values[p], p)), max(own, key=lambda p: (values[p], -p))
+        expected += [(column, place, place, values[place]) for place in sorted({own[0], own[-1], lowest, highest})]
+    assert got == expected and len(got) <= 80
+
+
+def test_line_columns_of_few_rows(spark):
+    df = spark.createDataFrame([(2, None), (1, 5.0)], "n int, v double")
+    assert [tuple(r) for r in charts.line_columns(df, "n", "v", "n", columns=100).collect()] == [(0, 0, 1, 5.0), (50, 1, 2, 0.0)]
+    assert charts.line_columns(df.limit(0), "n", "v", "n").collect() == []
+
+
 def test_pie_drops_missing(features):
     assert [tuple(r) for r in charts.pie_data(features, "family").collect()] == [("A", 2), ("B", 2)]
 
