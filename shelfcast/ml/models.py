@@ -29,8 +29,9 @@ def distinct_values(rows: DataFrame) -> int:
     As many bins let a tree consider every split between neighbouring values. Beyond 10,000 rows and
     the square of the bins, Spark ML looks for split candidates in a sample of that size.
     """
-    counts = rows.agg(*[F.count_distinct(c).alias(c) for c in NUMERIC]).first()
-    return max(LEAST_BINS, *(count + 1 for count in counts))
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in NUMERIC]))
+    values = rows.select(pairs.alias("pair")).select("pair.*").filter("value IS NOT NULL").distinct()
+    return max(LEAST_BINS, *(row["count"] + 1 for row in values.groupBy("name").count().collect()))
 
 
 def _tried(rule: str | None, width: int) -> int | None:

@@ -30,14 +30,16 @@ def _csv_rows(spark: SparkSession, path: str) -> DataFrame:
     same = F.lit(True)
     for name, cell in zip(names, cells):
         same = same & cell.eqNullSafe(F.lit(name))
-    moved = F.array_sort(F.array(*[F.coalesce(cell, F.lit("")) for cell in cells])) == F.array_sort(F.array(*map(F.lit, names)))
+    # Only a row that starts with a column's name can be a header; others need no sorting.
+    moved = cells[0].isin(names) & (
+        F.array_sort(F.array(*[F.coalesce(cell, F.lit("")) for cell in cells])) == F.array_sort(F.array(*map(F.lit, names)))
+    )
     surplus = F.col(f"`{SURPLUS}`").isNotNull()
     fault = F.when(surplus, F.lit("a row has more cells than the header")).when(
-        moved, F.lit("files have the same columns in different orders")
+        ~same & moved, F.lit("files have the same columns in different orders")
     )
-    message = F.concat(F.lit(f"{path}: "), fault)
-    checked = [F.when(fault.isNotNull(), F.raise_error(message).cast("string")).otherwise(cell).alias(name) for name, cell in zip(names, cells)]
-    return rows.filter(surplus | ~same).select(*checked)
+    sound = F.when(fault.isNotNull(), F.raise_error(F.concat(F.lit(f"{path}: "), fault)).cast("boolean")).otherwise(~same)
+    return rows.filter(sound).select(*[cell.alias(name) for name, cell in zip(names, cells)])
 
 
 def _typed_cell(field: T.StructField) -> Column:
