@@ -1,16 +1,20 @@
 """Quality rules, substring deduplication, Jaccard join and the pipeline against brute force."""
 
+import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import regex
 from hypothesis import given, settings, strategies as st
 
 import corpus_pipeline
-from llm_cases import ODD
-from shelfcast.llm import jaccard_join, quality_outliers, substring_dedup, word_hashes
-from shelfcast.llm.columns import documents
+from llm_cases import ODD, whole_ids
+from shelfcast.llm import jaccard_join, language_id, quality_outliers, substring_dedup, toxicity, word_hashes
+from shelfcast.llm.columns import documents, tokenizer_file
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -267,20 +271,87 @@ def test_signatures_never_prune_a_link(one, two):
 # Pipeline
 
 
-def test_stages_take_effect_in_turn(spark):
+def plainly_not_toxic(spark, rows, docs):
+    """Words and chained logistic regressions of one text at a time."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+    kept = []
+    for row in rows:
+        words = set(regex.split(r"[^\p{L}\p{N}]+", (row["text"] or "").lower()))
+        x = [float(word in words) for word in model.words]
+        for weights in model.weights:
+            x.append(1 / (1 + math.exp(-(sum(a * b for a, b in zip(x, weights)) + weights[-1]))))
+        lettered = regex.search(r"[\p{L}\p{N}]", row["text"] or "")
+        if not lettered or x[len(model.words)] < 0.3:
+            kept.append(row)
+    return kept
+
+
+def plainly_known(rows, docs):
+    """The network's windows of one text at a time."""
+    model = language_id.fit(docs)
+    chances = [language_id.text_probabilities(model, pa.array([row["text"] or ""])).max() for row in rows]
+    return [row for row, chance in zip(rows, chances) if regex.search(r"\p{L}", row["text"] or "") and chance >= 0.5]
+
+
+def plainly_one_each(rows):
+    components = {key: component for key, _, component in naive_components([(row["doc_id"], row["text"]) for row in rows])}
+    return [row for row in rows if components[row["doc_id"]] == row["doc_id"]]
+
+
+def test_stages_equal_plain_versions_row_by_row(spark):
+    """Each stage on its own input: kept rows, cut texts, pieces and their places."""
     docs = documents(spark, SF_DIR)
-    columns, kept = docs.columns, {row["doc_id"] for row in docs.select("doc_id").collect()}
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        found = stage(spark, docs, SF_DIR)
+    columns = docs.columns
+    stages = dict(corpus_pipeline.STAGES)
+    plain = {
+        "toxicity": lambda rows, docs: plainly_not_toxic(spark, rows, docs),
+        "language ID": plainly_known,
+        "n-gram Jaccard join": lambda rows, docs: plainly_one_each(rows),
+    }
+    for name, expected in plain.items():
+        rows = docs.collect()
+        found = stages[name](spark, docs, SF_DIR)
         assert found.columns == columns, name
-        rows = found.select("doc_id").toPandas()["doc_id"]
-        assert rows.is_unique and set(rows) <= kept
-        kept, docs = set(rows), found.checkpoint()
-    assert 100 < len(kept) < 200
-    again = substring_dedup.remove_repeats(docs)
-    assert again.count() == len(kept)
-    pieces = corpus_pipeline.pack_sequences(spark, docs, SF_DIR)
-    assert {row["doc_id"] for row in pieces.select("doc_id").distinct().collect()} == kept
+        docs = found.checkpoint()
+        assert sorted(docs.collect()) == sorted(expected(rows, spark.createDataFrame(rows, docs.schema))), name
+        assert 100 < docs.count() <= len(rows)
+    rows = {row["doc_id"]: row for row in docs.collect()}
+    cut = stages["substring dedup"](spark, docs, SF_DIR).checkpoint()
+    after = {row["doc_id"]: row for row in cut.collect()}
+    naive = {key: (gone, kept) for key, _, gone, kept in naive_removal([(key, row["text"]) for key, row in rows.items()], substring_dedup.LENGTH)}
+    assert after.keys() == rows.keys() and any(gone for gone, _ in naive.values())
+    for key, (gone, kept) in naive.items():
+        if gone:
+            assert b" ".join(split(after[key]["text"])).decode() == kept
+            assert after[key]["n_chars"] == len(after[key]["text"])
+        else:
+            assert after[key] == rows[key]
+    pieces = stages["best-fit packing"](spark, cut, SF_DIR).collect()
+    expected, keys = [], sorted(after)
+    for key, ids in zip(keys, whole_ids(tokenizer_file("byte_bpe_50k.json"), [after[key]["text"] for key in keys])):
+        ids, own = [*ids, 2], sorted((row for row in pieces if row["doc_id"] == key), key=lambda row: row["piece"])
+        begin = 0
+        for number, row in enumerate(own):
+            part = ids[begin:begin + row["length"]]
+            assert (row["piece"], row["start"], row["ids_crc32"]) == (number, begin, zlib.crc32(np.array(part, "<u4").tobytes()))
+            assert 0 < row["length"] <= 1024 and (number == 0 or number == len(own) - 1 or row["length"] == 1024)
+            begin += row["length"]
+        assert begin == len(ids) and len(own) == -(-len(ids) // 1024)
+        expected += own
+    assert len(expected) == len(pieces)
+    places: dict[int, list] = {}
+    for row in pieces:
+        places.setdefault(row["sequence_id"], []).append((row["offset"], row["length"]))
+    for own in places.values():
+        ends = [0, *np.cumsum([length for _, length in sorted(own)]).tolist()]
+        assert [offset for offset, _ in sorted(own)] == ends[:-1] and ends[-1] <= 1024
+
+
+def test_stages_of_nothing(spark):
+    docs = documents(spark, SF_DIR).limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, SF_DIR)
+        assert found.collect() == [], name
 
 
 def test_whole_pipeline_runs(spark):
