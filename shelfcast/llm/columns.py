@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.session import shared_dir
+from shelfcast.session import shared_dir, ship_package
 
 BATCH_BYTES = 8 << 20
 
-_shipped: set[str] = set()
-
 
 def ship(spark: SparkSession) -> None:
     """Readies a session for Python work on texts; called by every operator that needs it.
@@ -23,16 +17,7 @@ def ship(spark: SparkSession) -> None:
     worker's memory does not follow the length of texts.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="shelfcast-source-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for source in sorted(package.rglob("*.py")):
-            out.write(source, source.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    _shipped.add(context.applicationId)
+    ship_package(spark)
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -104,20 +105,23 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 _shipped: set[str] = set()
+_shipping = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Sends the package's source to the Python workers, once per application.
 
-    Executors have no copy of it unless the job was submitted with one.
+    Executors have no copy of it unless the job was submitted with one. A cluster refuses a second file
+    of the same name, so all operators send it from here, and fits in several threads one at a time.
     """
     context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="shelfcast-source-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for source in sorted(package.rglob("*.py")):
-            out.write(source, source.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    _shipped.add(context.applicationId)
+    with _shipping:
+        if context.applicationId in _shipped:
+            return
+        package = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="shelfcast-source-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
