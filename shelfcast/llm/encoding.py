@@ -63,9 +63,10 @@ class _Memo(dict):
 
 
 class ChunkEncoder:
-    """Encodes texts to ids, remembering the ids of chunks within fixed memory bounds."""
+    """Encodes texts to ids, remembering the ids of chunks within ``share`` of the memory bounds."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, share: float = 1.0):
+        self.share = share
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -146,9 +147,9 @@ class ChunkEncoder:
 
     def _bound(self) -> None:
         """Forgets the latest chunks when there are too many."""
-        if len(self.memo) <= MEMO_CHUNKS:
+        if len(self.memo) <= self.share * MEMO_CHUNKS:
             return
-        kept = [key for key in islice(self.memo, MEMO_KEPT) if len(key) <= LONGEST_MEMO]
+        kept = [key for key in islice(self.memo, int(self.share * MEMO_KEPT)) if len(key) <= LONGEST_MEMO]
         numbers = np.fromiter((self.memo[key] for key in kept), np.int64, len(kept))
         sizes = self.sizes[numbers]
         ends = np.cumsum(sizes)

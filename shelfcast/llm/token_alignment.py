@@ -30,10 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.llm.columns import ship
-from shelfcast.llm.encoding import ChunkEncoder, _byte_letters, encoder, slices
+from shelfcast.llm.encoding import ChunkEncoder, _byte_letters, slices
 from shelfcast.llm.tables import Put, scratch, stored
 
 PART = 32_768  # characters of a part, about; bytes from which a text is cut into parts
+MEMO_SHARE = 0.15  # of an encoder's memory bounds, as a worker has two of them and aligns their ids
+BATCH = 1 << 18  # bytes of short texts aligned at once
 FAN = 8  # fragments composed by one task at a time
 MOST_PAIRS = 2_000_000  # in the broadcast table of counts: 32 MB
 SPACE = "▁"  # fixed value: stands for a space in pieces
@@ -69,7 +71,7 @@ class ByteTokens:
     """A byte-level tokenizer file of the tokenizers library."""
 
     def __init__(self, path: str):
-        self.known = encoder(path)
+        self.known = ChunkEncoder(path, MEMO_SHARE)
         vocabulary = self.known.tokenizer.get_vocab()
         byte_of = {letter: byte for byte, letter in _byte_letters().items()}
         tokens = [b""] * (max(vocabulary.values()) + 1)
@@ -106,6 +108,7 @@ class PieceEncoder(ChunkEncoder):
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=path)
+        self.share = MEMO_SHARE
         self._empty_memo()
 
     def _ids_of(self, keys: list) -> list[list[int]]:
@@ -362,7 +365,7 @@ def _align_short(docs: DataFrame, files: tuple[str, str]) -> DataFrame:
 
     def align(batches):
         for batch in batches:
-            for begin, end in slices(batch.column(1), 1 << 20):
+            for begin, end in slices(batch.column(1), BATCH):
                 part = batch.slice(begin, end - begin)
                 found = _aligned_batch(aligner(*files), [text or "" for text in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(0), *_found_arrays(found)], ["doc_id", *_names(FOUND)])

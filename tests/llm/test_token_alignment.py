@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from llm_cases import ODD, whole_ids
-from shelfcast.llm import catalogue, token_alignment
+from shelfcast.llm import catalogue, encoding, token_alignment
 from shelfcast.llm.columns import tokenizer_file
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -129,3 +129,13 @@ def test_an_empty_table(make, files):
 def test_query_equals_brute_force(spark, own, files):
     rows = [(row["doc_id"], row["text"]) for row in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     assert as_tuples(catalogue.QUERIES["op12_token_alignment"](spark, SF_DIR)) == expected_rows(own, files, rows)
+
+
+def test_the_two_memos_of_a_worker_share_its_bound(files, monkeypatch):
+    monkeypatch.setattr(encoding, "MEMO_CHUNKS", 1000)
+    monkeypatch.setattr(encoding, "MEMO_KEPT", 700)
+    both = token_alignment.ByteTokens(files[0]), token_alignment.PieceTokens(files[1])
+    for batch in range(40):
+        for side in both:
+            side.encode([" ".join(f"w{batch}x{number}" for number in range(30))])
+    assert sum(len(side.known.memo) for side in both) <= 500
