@@ -11,7 +11,10 @@ cut into size bands, so only sizes within a ratio of 3 to 4 meet.
 2. In tiles that still hold several components, nodes of different ones are compared by bitmap
    signatures, as wide as their sets are large: a set flips the bit of each element, so differing bits of two signatures bound the
    difference of the sets from below and their overlap from above. Only pairs that pass are emitted, and
-   a pair with a common one among either's first ``FIRST`` prefix shingles only in the tile of the first of these.
+   a pair with a common one among either's first ``FIRST`` prefix shingles only in the tile of the first of
+   these, else likewise among their first ``FIRST`` very common ones. A row of a large tile passes its closest
+   partners first; while some had more, this is repeated with the components that these links give and
+   many times as many partners, until every pair has passed or lies in one component.
 3. Passing pairs are verified by intersecting sorted arrays of the whole sets.
 
 No pair of linked nodes is missed: it shares a tile, and there it is in one component already or
@@ -44,7 +47,9 @@ MEMBERS = 200  # verified against one copy of a text
 BLOCK = 4096  # nodes of a tile compared with at once
 FEW = 64  # rows up to which tiles are compared together with others
 PAIRS = 100_000  # of such tiles, about, at a time
-FIRST = 8  # prefix shingles that tell in which tile two nodes meet first
+FIRST = 8  # prefix shingles, and very common ones, that tell in which tile two nodes meet first
+CLOSEST = 16  # partners of a row of a large tile that are passed on in the first turn
+MORE = 64  # times as many in each further turn
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -255,15 +260,18 @@ def _passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _firsts(texts: DataFrame, common: np.ndarray) -> DataFrame:
-    """``node, firsts``: the first shingles of each node's prefix, its own number in place of missing ones."""
+    """``node, firsts``: the first shingles of each node's prefix and the first very common ones in it, its
+    own number in place of missing ones."""
 
     def find(batches):
         for part, raw in _text_batches(batches, 1):
             own = []
             for node, shingles in zip(part.column(0).to_pylist(), shingle_sets(raw)):
-                row = np.full(FIRST, node, np.uint64)
-                found = prefix(shingles, common)[:FIRST]
-                row[:len(found)] = found
+                row = np.full(2 * FIRST, node, np.uint64)
+                found = prefix(shingles, common)
+                row[:min(len(found), FIRST)] = found[:FIRST]
+                late = found[np.isin(found, common)][:FIRST] if len(common) else found[:0]
+                row[FIRST:FIRST + len(late)] = late
                 own.append(row.tobytes())
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.binary())], ["node", "firsts"])
 
@@ -271,20 +279,24 @@ def _firsts(texts: DataFrame, common: np.ndarray) -> DataFrame:
 
 
 def _meet_first(firsts: np.ndarray, shingles: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    """Whether no earlier shingle than the tile's is known to be in the prefixes of both rows.
+    """Whether the tile is the one of the first shingle that is known to be in the prefixes of both rows.
 
-    All prefixes follow one order, so the first shingle of one row's that the other has too is the first
-    of all common ones, and the pair is found in its tile.
+    Both rows are in the tile of each such shingle, so the pair is found there. With none known it is
+    found in every tile that both are in.
     """
-    shared = (firsts[one][:, :, None] == firsts[two][:, None, :]).any(axis=2)
+    shared = [
+        (firsts[one][:, part, None] == firsts[two][:, None, part]).any(axis=2) for part in (slice(FIRST), slice(FIRST, None))
+    ]
+    shared = np.concatenate(shared, axis=1)
     first = firsts[one, shared.argmax(axis=1)] if len(one) else np.zeros(0, np.uint64)
     return ~shared.any(axis=1) | (first == shingles[one])
 
 
 def _across(
-    tiles: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFrame, common: np.ndarray, put: Put
+    tiles: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFrame, common: np.ndarray, closest: int, put: Put
 ) -> DataFrame:
-    """Pairs of one tile in different components that pass by size and signature."""
+    """Pairs of one tile in different components that pass by size and signature: of a row of a large tile
+    the ``closest`` ones, and a pair of the row with itself if it has more."""
     named = tiles.select("shingle", "node").join(labels, "node", "left").select(
         "shingle", "node", F.coalesce("label", "node").alias("label")
     )
@@ -313,7 +325,7 @@ def _across(
                 ends, held = np.r_[begins[1:], len(shingles)], None
             else:  # the last tile may go on in the next batch
                 ends, held, begins = begins[1:], table.slice(int(begins[-1])), begins[:-1]
-            yield _compared(table, begins, ends)
+            yield _compared(table, begins, ends, closest)
 
     ordered = full.repartition("shingle").sortWithinPartitions("shingle", "size", "node")
     return ordered.mapInArrow(compare, "a bigint, b bigint").distinct()
@@ -358,10 +370,10 @@ def _compared_at_once(size, node, label, bits, firsts, shingles, begins, ends) -
     return left, right
 
 
-def _compared(table: pa.Table, begins: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+def _compared(table: pa.Table, begins: np.ndarray, ends: np.ndarray, closest: int) -> pa.RecordBatch:
     size, node, label = (table.column(name).to_numpy().astype(np.int64) for name in ("size", "node", "label"))
     bits, shingles = table.column("bits").to_pylist(), table.column("shingle").to_numpy().view(np.uint64)
-    firsts = np.frombuffer(b"".join(table.column("firsts").to_pylist()), np.uint64).reshape(-1, FIRST)
+    firsts = np.frombuffer(b"".join(table.column("firsts").to_pylist()), np.uint64).reshape(-1, 2 * FIRST)
     few = ends - begins <= FEW
     left, right = _compared_at_once(size, node, label, bits, firsts, shingles, begins[few], ends[few])
     for begin, end in zip(begins[~few].tolist(), ends[~few].tolist()):
@@ -378,15 +390,23 @@ def _compared(table: pa.Table, begins: np.ndarray, ends: np.ndarray) -> pa.Recor
             # all partners of the largest component, and earlier ones of the others
             least = begin + np.searchsorted(size[begin:end], -(-3 * size[one] // 4))
             most = begin + np.searchsorted(size[begin:end], 4 * size[one] // 3, side="right")
-            own = np.frombuffer(bits[one], np.uint64)
+            own, found, apart = np.frombuffer(bits[one], np.uint64), [], []
             for low, high, rows in parts:
                 for block in range(max(low, least), min(high, most), BLOCK):
                     other = np.arange(block, min(block + BLOCK, high, most))
                     other = other[(label[other] == main) | ((label[other] != label[one]) & (other < one))]
-                    passed = other[_may_link(size[one] + size[other], _differing(own, rows[other - low]))]
-                    passed = passed[_meet_first(firsts, shingles, np.full(len(passed), one), passed)]
-                    left.append(np.minimum(node[one], node[passed]))
-                    right.append(np.maximum(node[one], node[passed]))
+                    differing = _differing(own, rows[other - low])
+                    passed = _may_link(size[one] + size[other], differing)
+                    other, differing = other[passed], differing[passed]
+                    here = _meet_first(firsts, shingles, np.full(len(other), one), other)
+                    found.append(other[here])
+                    apart.append(differing[here])
+            found = np.concatenate(found) if found else np.zeros(0, np.int64)
+            if len(found) > closest:
+                # a pair of the row with itself says that it has more
+                found = np.r_[found[np.argpartition(np.concatenate(apart), closest)[:closest]], one]
+            left.append(np.minimum(node[one], node[found]))
+            right.append(np.maximum(node[one], node[found]))
     columns = [np.concatenate(part) if part else np.zeros(0, np.int64) for part in (left, right)]
     return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], ["a", "b"])
 
@@ -486,7 +506,11 @@ def _labelled(docs: DataFrame, put: Put) -> DataFrame:
         apart = put(_apart(led, labels), "apart")
         if apart.isEmpty():
             break
-    labels = _joined(labels, _verified(_across(tiles, nodes, labels, texts, common, put), texts, put), put)
+    closest, more = CLOSEST, True
+    while more:
+        passed = put(_across(tiles, nodes, labels, texts, common, closest, put), "across-pairs")
+        labels = _joined(labels, _verified(passed.filter("a <> b"), texts, put), put)
+        closest, more = MORE * closest, not passed.filter("a = b").isEmpty()
     placed = described.join(nodes.select("one", "two", "node"), ["one", "two"], "left").join(labels, "node", "left")
     placed = put(placed.select("doc_id", "text_hash", "size", F.coalesce("label", "node").alias("label")), "labelled")
     smallest = put(placed.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("smallest")), "smallest")

@@ -222,6 +222,25 @@ def test_components_equal_brute_force(make, monkeypatch, common):
     assert sorted(map(tuple, got)) == naive_components(rows)
 
 
+def test_large_tiles_pass_their_closest_pairs_first(make, monkeypatch):
+    passed, across = [], jaccard_join._across
+
+    def counted(*given):
+        pairs = across(*given)
+        passed.append(pairs.filter("a <> b").count())
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "_across", counted)
+    for name, value in (("FEW", 0), ("LEADERS", 1), ("COMMON_TILE", 3), ("CLOSEST", 1), ("MORE", 4)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    # Texts of one passage and ten words of their own: every two of them pass by signature, many do not link.
+    shared, random = [f"s{n}" for n in range(60)], np.random.default_rng(3)
+    rows = [(n, " ".join([*shared[:random.integers(48, 60)], *[f"o{n}x{k}" for k in range(10)]])) for n in range(40)]
+    got = jaccard_join.join_components(make(rows)).collect()
+    assert sorted(map(tuple, got)) == naive_components(rows)
+    assert passed[0] <= 6 * len(rows)
+
+
 def test_one_document_of_each_group_stays(make):
     base = " ".join(f"w{n}" for n in range(40))
     rows = [(4, base), (2, base), (9, base + " more"), (5, "something else entirely in five"), (6, None), (7, ""), (None, base)]
