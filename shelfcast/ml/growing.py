@@ -99,9 +99,11 @@ class Codes:
     @staticmethod
     def of(rows: DataFrame, width: int, most: int) -> "Codes":
         """Codes of the ``width`` features in ``x``. Bins of a feature with more than ``most`` values hold
-        about as many rows each; only their edges come to the driver."""
-        values = rows.select(F.posexplode("x").alias("feature", "v"))
-        with materialized(values.groupBy("feature", "v").agg(F.count(F.lit(1)).alias("rows")), "feature-values") as counts:
+        about as many rows each, ``w`` of them per row if there is such a column; only their edges come to
+        the driver."""
+        number = F.col("w").cast("long") if "w" in rows.columns else F.lit(1).cast("long")
+        values = rows.select(F.posexplode("x").alias("feature", "v"), number.alias("copies"))
+        with materialized(values.groupBy("feature", "v").agg(F.sum("copies").alias("rows")), "feature-values") as counts:
             sizes = {row["feature"]: row["count"] for row in counts.groupBy("feature").count().collect()}
             wide = [sizes.get(feature, 0) > most for feature in range(width)]
             few = [feature for feature in range(width) if not wide[feature]]

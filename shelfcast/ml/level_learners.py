@@ -109,7 +109,8 @@ class Boosting(_Learner):
     """Boosting from the best constant, every tree shrunk by the learning rate.
 
     Each stage grows a tree on the negative gradient of the loss at the running prediction, which is
-    stored with the rows every ``STORE_EVERY`` stages, so that the work is linear in the stages. Leaves
+    stored with the rows every ``STORE_EVERY`` stages, so that the work is linear in the stages. Equal rows
+    are merged at the start and weighted by their number ``w``, as every stage goes through all of them. Leaves
     of a loss other than squared error are then set to the residual that is best for the loss: their
     median or quantile, exactly, from counts per distinct residual sorted over all tasks.
     """
@@ -123,13 +124,14 @@ class Boosting(_Learner):
         rules, rate, loss, alpha = self._rules(), *map(self.getOrDefault, (self.rate, self.loss, self.alpha))
         groups: list[Nodes] = []
         with ExitStack() as stack:
-            rows = stack.enter_context(materialized(self._rows(dataset), "boosted-rows"))
+            merged = merge_copies(self._rows(dataset)).select("x", "y", F.col("copies").cast("double").alias("w"))
+            rows = stack.enter_context(materialized(merged, "boosted-rows"))
             width = _width(rows)
             codes = Codes.of(rows, width, rules.most_values)
             if loss == "squared_error":
-                start = rows.agg(F.avg("y")).first()[0]
+                start = rows.agg(_mean(F.col("y"))).first()[0]
             else:
-                start = _quantile(rows.select("y"), "y", alpha if loss == "quantile" else 0.5)
+                start = _quantile(rows.select("y", "w"), "y", alpha if loss == "quantile" else 0.5)
             held = stack.enter_context(ExitStack())
             coded = codes.encode(rows).withColumn("f", F.lit(float(start)))
             table = held.enter_context(materialized(coded, "boosted-rows"))
@@ -143,7 +145,7 @@ class Boosting(_Learner):
                     held, since = stack.enter_context(following), []
                     state = replace(state, trees=())
                 if loss == "huber":
-                    away = _residuals(table, state).select(F.abs("r").alias("r"))
+                    away = _residuals(table, state).select(F.abs("r").alias("r"), "w")
                     state = replace(state, clip=_quantile(away, "r", alpha))
                 nodes = Grower(replace(rules, seed=f"{rules.seed}/{stage}"), codes).grow(table, state)
                 if loss != "squared_error":
@@ -155,7 +157,7 @@ class Boosting(_Learner):
 
 @dataclass(frozen=True)
 class Residuals:
-    """State of rows with columns ``codes, y, f``, whose prediction is ``f`` moved by some trees."""
+    """State of rows with columns ``codes, y, w, f``, whose prediction is ``f`` moved by some trees."""
 
     width: int
     trees: tuple[Flat, ...]
@@ -184,7 +186,7 @@ class Residuals:
             r = np.where(r < 0, self.alpha - 1.0, self.alpha)
         elif self.loss == "huber":
             r = np.clip(r, -self.clip, self.clip)
-        return codes, r, np.ones(len(r)), np.zeros(len(r), np.int64)
+        return codes, r, batch.column("w").to_numpy(zero_copy_only=False), np.zeros(len(r), np.int64)
 
 
 def _moved(table: DataFrame, state: Residuals) -> DataFrame:
@@ -193,34 +195,38 @@ def _moved(table: DataFrame, state: Residuals) -> DataFrame:
     def move(batches):
         for batch in batches:
             codes, moved = state.prediction(batch)
-            yield pa.RecordBatch.from_arrays([lists(codes), batch.column("y"), pa.array(moved)], ["codes", "y", "f"])
+            yield pa.RecordBatch.from_arrays([lists(codes), batch.column("y"), batch.column("w"), pa.array(moved)], ["codes", "y", "w", "f"])
 
-    return table.select("codes", "y", "f").mapInArrow(move, "codes array<int>, y double, f double")
+    return table.select("codes", "y", "w", "f").mapInArrow(move, "codes array<int>, y double, w double, f double")
 
 
 def _residuals(table: DataFrame, state: Residuals, tree: Flat | None = None) -> DataFrame:
-    """``leaf, r``: residuals, and the leaves of ``tree``."""
+    """``leaf, r, w``: residuals, and the leaves of ``tree``."""
 
     def find(batches):
         for batch in batches:
             codes, r = state.residual(batch)
             leaf = tree.leaf_of(codes) if tree else np.zeros(len(r))
-            yield pa.RecordBatch.from_arrays([pa.array(leaf.astype(np.int32)), pa.array(r)], ["leaf", "r"])
+            yield pa.RecordBatch.from_arrays([pa.array(leaf.astype(np.int32)), pa.array(r), batch.column("w")], ["leaf", "r", "w"])
 
-    return table.mapInArrow(find, "leaf int, r double")
+    return table.mapInArrow(find, "leaf int, r double, w double")
+
+
+def _mean(value: Column) -> Column:
+    return F.sum(value * F.col("w")) / F.sum("w")
 
 
 def _quantile(df: DataFrame, value: str, share: float) -> float:
-    return group_quantiles(df.withColumn("all", F.lit(0)), ["all"], value, share)[0]["quantile"]
+    return group_quantiles(df.withColumn("all", F.lit(0)), ["all"], value, share, "w")[0]["quantile"]
 
 
 def _refit(nodes: Nodes, table: DataFrame, state: Residuals) -> None:
     """Sets the leaves to the best residual for the loss."""
     rows = _residuals(table, state, Flat.of(nodes))
-    for row in group_quantiles(rows, ["leaf"], "r", state.alpha if state.loss == "quantile" else 0.5):
+    for row in group_quantiles(rows, ["leaf"], "r", state.alpha if state.loss == "quantile" else 0.5, "w"):
         nodes.value[row["leaf"]] = float(row["quantile"])
     if state.loss == "huber":
         away = F.col("r") - F.get(F.expr(constant(nodes.value, "double")), F.col("leaf"))
         step = F.signum(away) * F.least(F.abs(away), F.lit(state.clip))
-        for row in rows.groupBy("leaf").agg(F.avg(step).alias("step")).collect():
+        for row in rows.groupBy("leaf").agg(_mean(step).alias("step")).collect():
             nodes.value[row["leaf"]] += float(row["step"])

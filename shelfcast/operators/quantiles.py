@@ -45,11 +45,14 @@ def interpolated(share: float, value: str, rows: str = "rows") -> Column:
     return low + F.max(at - F.floor(at)) * (high - low)
 
 
-def group_quantiles(df: DataFrame, by: Sequence[str], value: str, share: float) -> list:
+def group_quantiles(df: DataFrame, by: Sequence[str], value: str, share: float, copies: str | None = None) -> list:
     """Rows of ``by`` and ``quantile``, one per group of ``df``; equal values are merged first.
 
+    A row stands for ``copies`` rows if such a column is named.
+
     The groups' results come to the driver: for groups that are few, like the leaves of a tree.
     """
-    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("rows"))
+    number = F.sum(F.col(copies).cast("long")) if copies else F.count(F.lit(1))
+    counts = df.groupBy(*by, value).agg(number.alias("rows"))
     with running_totals(counts, by, value) as running:
         return running.groupBy(*by).agg(interpolated(share, value).alias("quantile")).collect()

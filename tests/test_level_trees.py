@@ -229,3 +229,21 @@ def test_no_row_reaches_the_driver(spark, table, monkeypatch):
     x, y = table
     tree(max_depth=3).fit(vectors(spark, x, y))
     assert [count <= 4 * 2**level for level, count in enumerate(seen)] == [True] * 3
+
+
+@pytest.mark.parametrize("loss", ["squared_error", "huber"])
+def test_boosting_goes_through_equal_rows_once(spark, table, monkeypatch, loss):
+    x, y = table
+    copies = np.arange(len(y)) % 3 + 1
+    sizes = []
+
+    class Counted(level_learners.Grower):
+        def grow(self, rows, state=None):
+            sizes.append(rows.count())
+            return super().grow(rows, state)
+
+    monkeypatch.setattr(level_learners, "Grower", Counted)
+    x, y = np.repeat(x, copies, axis=0), np.repeat(y, copies)
+    learner = Boosting(rules=rules_text(max_depth=2), stages=3, rate=0.4, loss=loss, alpha=0.9)
+    assert fitted(learner, vectors(spark, x, y)) == pytest.approx(numpy_boosting(x, y, 3, 2, 0.4, loss))
+    assert sizes == [len(np.unique(np.c_[x, y], axis=0))] * 3
