@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -76,9 +77,11 @@ class WaveletMatrix:
         rest = ids.astype(np.uint16 if depth <= 16 else np.uint32)
         planes = []
         for place in range(depth - 1, -1, -1):
-            bit = (rest >> place & 1).astype(bool)
-            planes.append(Plane.of(bit))
-            rest = np.concatenate([rest[~bit], rest[bit]])
+            planes.append(Plane.of((rest >> place & 1).astype(bool)))
+            # Arrow filters by packed bits, several times as fast as numpy by a mask of mixed values.
+            ones = pa.BooleanArray.from_buffers(pa.bool_(), len(rest), [None, pa.py_buffer(planes[-1].bits)])
+            parts = [pa.array(rest).filter(picked).to_numpy() for picked in (pc.invert(ones), ones)]
+            rest = np.concatenate(parts)
         return WaveletMatrix(len(ids), planes)
 
     def ids(self) -> np.ndarray:
@@ -87,8 +90,8 @@ class WaveletMatrix:
         for place, plane in enumerate(reversed(self.planes)):
             bit = np.unpackbits(plane.bits, count=self.length, bitorder="little").view(bool)
             above = np.empty_like(known)
-            above[~bit] = known[:plane.zeros]
-            above[bit] = known[plane.zeros:] | known.dtype.type(1 << place)
+            above[np.flatnonzero(~bit)] = known[:plane.zeros]
+            above[np.flatnonzero(bit)] = known[plane.zeros:] | known.dtype.type(1 << place)
             known = above
         return known.astype("<u4")
 
