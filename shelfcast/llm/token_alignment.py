@@ -111,13 +111,13 @@ class PieceEncoder(ChunkEncoder):
         self.share = MEMO_SHARE
         self._empty_memo()
 
-    def _ids_of(self, keys: list) -> list[list[int]]:
+    def _ids_of(self, keys: list) -> tuple[np.ndarray, np.ndarray]:
         # A chunk's own space is the one the model puts in front; other chunks go behind a guard, which
         # is cut off again with its space.
         spaced = [key.__class__ is str and len(key) > 0 for key in keys]
         texts = [key if own else self.GUARD + (" " + key if key.__class__ is str else key[0]) for key, own in zip(keys, spaced)]
         found = self.model.encode(texts, num_threads=1)
-        return [ids if own else ids[2:] for ids, own in zip(found, spaced)]
+        return self._flat([ids if own else ids[2:] for ids, own in zip(found, spaced)])
 
 
 class PieceTokens:

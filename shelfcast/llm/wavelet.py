@@ -29,6 +29,7 @@ MAGIC = b"WVMX"
 HEADER = struct.Struct("<4sHHQQ")  # magic, version, planes, documents, ids
 BLOCK = 512  # bits between stored counts
 SHARD_IDS = 1 << 20
+ENCODED_BYTES = 8 << 20  # of texts encoded at once; the more, the fewer chunks are looked up again
 
 
 @dataclass(frozen=True)
@@ -205,15 +206,18 @@ def write_shards(
             )
 
         for batch in batches:
-            for begin, end in slices(batch.column(1), min(2 << 20, shard_ids)):
-                ids, counts = known.encode(batch.column(1).slice(begin, end - begin))
-                ids = np.insert(ids, np.cumsum(counts), end_id)
-                keys += batch.column(0).slice(begin, end - begin).to_pylist()
-                sizes.append(counts + 1)
-                parts.append(ids)
-                held += len(ids)
-                if held >= shard_ids:
-                    yield close()
+            for begin, end in slices(batch.column(1), ENCODED_BYTES):
+                own, texts = batch.column(0).slice(begin, end - begin).to_pylist(), batch.column(1).slice(begin, end - begin)
+                ids, counts = known.encode(texts)
+                ids, counts = np.insert(ids, np.cumsum(counts), end_id), counts + 1
+                ends = np.r_[0, np.cumsum(counts)]
+                for first, last in slices(texts, min(2 << 20, shard_ids)):
+                    keys += own[first:last]
+                    sizes.append(counts[first:last])
+                    parts.append(ids[ends[first]:ends[last]])
+                    held += len(parts[-1])
+                    if held >= shard_ids:
+                        yield close()
         if keys:
             yield close()
 

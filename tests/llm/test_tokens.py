@@ -3,11 +3,12 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
 from llm_cases import ODD, whole_ids
-from shelfcast.llm import byte_pairs, packing, token_counts, wavelet
+from shelfcast.llm import byte_pairs, encoding, packing, token_counts, wavelet
 
 ROWS = [(number * 3, text) for number, text in enumerate(ODD)] + [(0, None)]
 
@@ -132,6 +133,32 @@ def test_wavelet_matrix_against_lists(values):
         assert matrix.occurrences(token) == [at for at, value in enumerate(values) if value == token]
 
 
+def test_each_chunk_is_looked_up_once_per_call(tokenizer_path, monkeypatch):
+    looked_up = []
+
+    class Counting(encoding._Memo):
+        def __getitem__(self, key):
+            looked_up.append(key)
+            return super().__getitem__(key)
+
+    monkeypatch.setattr(encoding, "_Memo", Counting)
+    texts = ["one two, two"] + [" ".join(["two", "one", "Ünï 12.5", "two,"] * 40)] * 20
+    known = encoding.ChunkEncoder(tokenizer_path)
+    ids, counts = known.encode(pa.array(texts))
+    assert len(looked_up) <= 2 * len(texts) + 6  # beside the first chunk of each text, the different ones
+    expected = whole_ids(tokenizer_path, texts)
+    assert counts.tolist() == list(map(len, expected)) and ids.tolist() == sum(expected, [])
+
+
+def test_many_new_chunks_at_once(tokenizer_path):
+    kinds = ["w{}", "{},", "\n{}", "{}\n", "", "é{}\u3000", "{}<|endoftext|>", "\x1f{}\x1f", "{}" + 70 * "long", "'s{}"]
+    texts = [" ".join(kinds[(row + at) % len(kinds)].format(row * 50 + at) for at in range(50)) for row in range(30)]
+    texts = [None, *texts, ""]
+    ids, counts = encoding.ChunkEncoder(tokenizer_path).encode(pa.array(texts))
+    expected = whole_ids(tokenizer_path, texts)
+    assert counts.tolist() == list(map(len, expected)) and ids.tolist() == sum(expected, [])
+
+
 def test_wavelet_select_beyond_the_last():
     with pytest.raises(IndexError):
         wavelet.WaveletMatrix.of(np.array([3, 3])).select(3, 2)
