@@ -6,15 +6,17 @@ with very common ones at the end. A tile holds the nodes with one prefix shingle
 cut into size bands, so only sizes within a ratio of 3 to 4 meet.
 
 1. In each band every node has the band's first one as leader. Each node is verified against one of
-   its leaders, and in further turns against others that it is still apart from: at most as many pairs
-   a turn as nodes, which settle large groups of near copies. The links give first components.
+   its leaders, and in further turns, while most of these pairs link, against others that it is still apart
+   from: at most as many pairs a turn as nodes, which settle large groups of near copies. The links give
+   first components.
 2. In tiles that still hold several components, nodes of different ones are compared by bitmap
    signatures, as wide as their sets are large: a set flips the bit of each element, so differing bits of two signatures bound the
-   difference of the sets from below and their overlap from above. Only pairs that pass are emitted, and
-   a pair with a common one among either's first ``FIRST`` prefix shingles only in the tile of the first of
-   these, else likewise among their first ``FIRST`` very common ones. A row of a large tile passes its closest
-   partners first; while some had more, this is repeated with the components that these links give and
-   many times as many partners, until every pair has passed or lies in one component.
+   difference of the sets from below and their overlap from above. Only pairs that pass are emitted. Of each
+   node's prefix the ``FIRST`` shingles with the smallest mixed hashes are known, wherever they stand in the
+   order, so near copies share some; a pair is emitted only in the tile of the smallest one shared. A row of a
+   large tile passes its closest partners first; while some had more, this is repeated for them, with the
+   components that these links give and many times as many partners, until every pair has passed or lies in
+   one component.
 3. Passing pairs are verified by intersecting sorted arrays of the whole sets.
 
 No pair of linked nodes is missed: it shares a tile, and there it is in one component already or
@@ -47,7 +49,7 @@ MEMBERS = 200  # verified against one copy of a text
 BLOCK = 4096  # nodes of a tile compared with at once
 FEW = 64  # rows up to which tiles are compared together with others
 PAIRS = 100_000  # of such tiles, about, at a time
-FIRST = 8  # prefix shingles, and very common ones, that tell in which tile two nodes meet first
+FIRST = 16  # prefix shingles that tell in which tile two nodes meet first
 CLOSEST = 16  # partners of a row of a large tile that are passed on in the first turn
 MORE = 64  # times as many in each further turn
 
@@ -136,29 +138,47 @@ def _nodes(described: DataFrame, put: Put) -> DataFrame:
     return put(picked.select(F.monotonically_increasing_id().alias("node"), "one", "two", "pick.*"), "shingle-nodes")
 
 
-def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, text`` of nodes."""
-    return nodes.select("node", "doc_id", "text_hash").join(docs, ["doc_id", "text_hash"]).select("node", "text")
+def _texts_of(docs: DataFrame, nodes: DataFrame, repeated: bool) -> DataFrame:
+    """``node, text`` of nodes; with few of them ``docs`` need not be shuffled."""
+    texts = nodes.select("node", "doc_id", "text_hash").join(docs, ["doc_id", "text_hash"]).select("node", "text")
+    return texts.dropDuplicates(["node"]) if repeated else texts
+
+
+def _firsts(nodes: np.ndarray, prefixes: list[np.ndarray]) -> np.ndarray:
+    """A row per node: the shingles of its prefix with the smallest mixed hashes, its own number in place of
+    missing ones."""
+    firsts = np.repeat(nodes.astype(np.uint64)[:, None], FIRST, axis=1)
+    for row, own in zip(firsts, prefixes):
+        own = own[np.argsort(mixed(own))[:FIRST]]
+        row[:len(own)] = own
+    return firsts
 
 
 def _prefixes(texts: DataFrame, common: np.ndarray) -> DataFrame:
-    """``shingle, size, node`` of each node's prefix."""
+    """``node, size, shingles, firsts`` of each node's prefix: all its shingles, and those that tell where it
+    meets others first."""
 
     def find(batches):
         for part, raw in _text_batches(batches, 1):
             sets = shingle_sets(raw)
             parts = [prefix(own, common) for own in sets]
-            counts = np.array([len(own) for own in parts], np.int64)
+            firsts = _firsts(part.column(0).to_numpy(), parts)
+            ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+            flat = (np.concatenate(parts) if parts else np.zeros(0, np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array((np.concatenate(parts) if parts else np.zeros(0, np.uint64)).view(np.int64)),
-                    pa.array(np.repeat(np.array([len(own) for own in sets], np.int32), counts)),
-                    part.column(0).take(pa.array(np.repeat(np.arange(len(sets)), counts))),
+                    part.column(0), pa.array([len(own) for own in sets], pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array([row.tobytes() for row in firsts], pa.binary()),
                 ],
-                ["shingle", "size", "node"],
+                ["node", "size", "shingles", "firsts"],
             )
 
-    return texts.select("node", "text").mapInArrow(find, "shingle bigint, size int, node bigint")
+    return texts.select("node", "text").mapInArrow(find, "node bigint, size int, shingles array<bigint>, firsts binary")
+
+
+def _each_shingle(prefixes: DataFrame) -> DataFrame:
+    """``shingle, size, node`` of prefixes."""
+    return prefixes.select(F.explode("shingles").alias("shingle"), "size", "node")
 
 
 def _common(prefixes: DataFrame, put: Put) -> np.ndarray:
@@ -259,53 +279,37 @@ def _passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.filter(may("size_a", "size_b", "bits_a", "bits_b")).select("a", "b")
 
 
-def _firsts(texts: DataFrame, common: np.ndarray) -> DataFrame:
-    """``node, firsts``: the first shingles of each node's prefix and the first very common ones in it, its
-    own number in place of missing ones."""
-
-    def find(batches):
-        for part, raw in _text_batches(batches, 1):
-            own = []
-            for node, shingles in zip(part.column(0).to_pylist(), shingle_sets(raw)):
-                row = np.full(2 * FIRST, node, np.uint64)
-                found = prefix(shingles, common)
-                row[:min(len(found), FIRST)] = found[:FIRST]
-                late = found[np.isin(found, common)][:FIRST] if len(common) else found[:0]
-                row[FIRST:FIRST + len(late)] = late
-                own.append(row.tobytes())
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.binary())], ["node", "firsts"])
-
-    return texts.select("node", "text").mapInArrow(find, "node bigint, firsts binary")
-
-
 def _meet_first(firsts: np.ndarray, shingles: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
     """Whether the tile is the one of the first shingle that is known to be in the prefixes of both rows.
 
     Both rows are in the tile of each such shingle, so the pair is found there. With none known it is
     found in every tile that both are in.
     """
-    shared = [
-        (firsts[one][:, part, None] == firsts[two][:, None, part]).any(axis=2) for part in (slice(FIRST), slice(FIRST, None))
-    ]
-    shared = np.concatenate(shared, axis=1)
+    shared = (firsts[one][:, :, None] == firsts[two][:, None, :]).any(axis=2)
     first = firsts[one, shared.argmax(axis=1)] if len(one) else np.zeros(0, np.uint64)
     return ~shared.any(axis=1) | (first == shingles[one])
 
 
-def _across(
-    tiles: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFrame, common: np.ndarray, closest: int, put: Put
-) -> DataFrame:
+def _across(tiles: DataFrame, described: DataFrame, labels: DataFrame, more: DataFrame | None, closest: int, put: Put) -> DataFrame:
     """Pairs of one tile in different components that pass by size and signature: of a row of a large tile
-    the ``closest`` ones, and a pair of the row with itself if it has more."""
+    the ``closest`` ones, and a pair of the row with itself if it has more.
+
+    After the first turn only pairs of a node in ``more`` in large tiles are left to be found.
+    """
     named = tiles.select("shingle", "node").join(labels, "node", "left").select(
         "shingle", "node", F.coalesce("label", "node").alias("label")
     )
-    several = named.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    if more is None:
+        named = named.withColumn("had_more", F.lit(True))
+    else:
+        own = more.select("node", F.lit(True).alias("had_more"))
+        named = named.join(own, "node", "left").withColumn("had_more", F.coalesce("had_more", F.lit(False)))
+    several = named.groupBy("shingle").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("rows"), F.max("had_more").alias("left")
+    ).filter("low < high" if more is None else f"low < high AND left AND rows > {FEW}")
     # Stored, so that the join reads two plain exchanges and Spark can split a very common shingle.
     rows = put(named.join(put(several.select("shingle"), "mixed-shingles"), "shingle"), "mixed-tiles")
-    firsts = _firsts(texts.join(rows.select("node").distinct(), "node"), common)
-    described = put(nodes.select("node", "size", "bits").join(firsts, "node"), "mixed-nodes")
-    full = rows.join(described, "node").select("shingle", "size", "node", "label", "bits", "firsts")
+    full = rows.join(described, "node").select("shingle", "size", "node", "label", "had_more", "bits", "firsts")
 
     def compare(batches):
         from itertools import chain
@@ -372,8 +376,9 @@ def _compared_at_once(size, node, label, bits, firsts, shingles, begins, ends) -
 
 def _compared(table: pa.Table, begins: np.ndarray, ends: np.ndarray, closest: int) -> pa.RecordBatch:
     size, node, label = (table.column(name).to_numpy().astype(np.int64) for name in ("size", "node", "label"))
+    had_more = table.column("had_more").to_numpy()
     bits, shingles = table.column("bits").to_pylist(), table.column("shingle").to_numpy().view(np.uint64)
-    firsts = np.frombuffer(b"".join(table.column("firsts").to_pylist()), np.uint64).reshape(-1, 2 * FIRST)
+    firsts = np.frombuffer(b"".join(table.column("firsts").to_pylist()), np.uint64).reshape(-1, FIRST)
     few = ends - begins <= FEW
     left, right = _compared_at_once(size, node, label, bits, firsts, shingles, begins[few], ends[few])
     for begin, end in zip(begins[~few].tolist(), ends[~few].tolist()):
@@ -395,30 +400,33 @@ def _compared(table: pa.Table, begins: np.ndarray, ends: np.ndarray, closest: in
                 for block in range(max(low, least), min(high, most), BLOCK):
                     other = np.arange(block, min(block + BLOCK, high, most))
                     other = other[(label[other] == main) | ((label[other] != label[one]) & (other < one))]
-                    differing = _differing(own, rows[other - low])
-                    passed = _may_link(size[one] + size[other], differing)
-                    other, differing = other[passed], differing[passed]
-                    here = _meet_first(firsts, shingles, np.full(len(other), one), other)
-                    found.append(other[here])
-                    apart.append(differing[here])
+                    other = other if had_more[one] else other[had_more[other]]
+                    differing, total = _differing(own, rows[other - low]), size[one] + size[other]
+                    passed = _may_link(total, differing)
+                    found.append(other[passed])
+                    apart.append(differing[passed] / total[passed])
             found = np.concatenate(found) if found else np.zeros(0, np.int64)
-            if len(found) > closest:
-                # a pair of the row with itself says that it has more
-                found = np.r_[found[np.argpartition(np.concatenate(apart), closest)[:closest]], one]
+            # The closest ones of all tiles are much the same; each is emitted in one of them.
+            rest = len(found) > closest
+            if rest:
+                found = found[np.argpartition(np.concatenate(apart), closest)[:closest]]
+            found = found[_meet_first(firsts, shingles, np.full(len(found), one), found)]
+            if rest:  # a pair of the row with itself says that it has more
+                found = np.r_[found, one]
             left.append(np.minimum(node[one], node[found]))
             right.append(np.maximum(node[one], node[found]))
     columns = [np.concatenate(part) if part else np.zeros(0, np.int64) for part in (left, right)]
     return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], ["a", "b"])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, put: Put) -> DataFrame:
-    """Pairs ``a, b`` that link, by intersection of their whole sets.
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, repeated: bool, put: Put) -> DataFrame:
+    """Pairs ``a, b`` that link, by intersection of their whole sets; ``pairs`` are stored.
 
     Members ``b`` travel to the text of ``a``. An ``a`` with many members is repeated for parts of them.
     """
-    pairs = put(pairs, "passing-pairs")
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    known = put(texts.join(needed, "node"), "passing-texts")
+    keys = put(nodes.select("node", "doc_id", "text_hash").join(needed, "node"), "passing-nodes")
+    known = put(_texts_of(docs, keys, repeated), "passing-texts")
     copies = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("copies"))
     heads = copies.join(known.withColumnRenamed("node", "a"), "a").select(
         "a", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(None).cast("long").alias("b"), "text"
@@ -491,26 +499,31 @@ def similar_components(docs: DataFrame) -> DataFrame:
 def _labelled(docs: DataFrame, put: Put) -> DataFrame:
     described = _described(docs, put)
     nodes = _nodes(described, put)
-    texts = _texts_of(docs.dropDuplicates(["doc_id", "text_hash"]) if _repeated(described) else docs, nodes)
-    common = _common(_prefixes(texts, np.zeros(0, np.uint64)), put)
-    tiles = _tiles(_prefixes(texts, common), put)
+    repeated = _repeated(described)
+    texts = _texts_of(docs, nodes, repeated)
+    common = _common(_each_shingle(_prefixes(texts, np.zeros(0, np.uint64))), put)
+    prefixes = put(_prefixes(texts, common), "prefixes")
+    tiles = _tiles(_each_shingle(prefixes), put)
     led = put(tiles.filter("node <> leader").select("node", "leader").distinct(), "led-nodes")
     # A node of a large group has many leaders; one is tried at a time, while it is still apart from
-    # it, so that groups grow together from ever fewer parts.
+    # it, so that groups grow together from ever fewer parts. What then is left are mostly parts that do
+    # not link, and these are found faster by comparing them.
     labels, apart = None, led
     for turn in range(LEADERS):
-        new = _verified(_passing(_one_leader(apart, turn), nodes), texts, put)
-        if labels is not None and new.isEmpty():
-            break
+        tried = put(_passing(_one_leader(apart, turn), nodes), "leader-pairs")
+        new = _verified(tried, docs, nodes, repeated, put)
         labels = _joined(labels, new, put)
+        if 2 * new.count() <= tried.count():
+            break
         apart = put(_apart(led, labels), "apart")
         if apart.isEmpty():
             break
-    closest, more = CLOSEST, True
-    while more:
-        passed = put(_across(tiles, nodes, labels, texts, common, closest, put), "across-pairs")
-        labels = _joined(labels, _verified(passed.filter("a <> b"), texts, put), put)
-        closest, more = MORE * closest, not passed.filter("a = b").isEmpty()
+    full = put(nodes.select("node", "size", "bits").join(prefixes.select("node", "firsts"), "node"), "full-nodes")
+    closest, more = CLOSEST, None
+    while more is None or not more.isEmpty():
+        passed = put(_across(tiles, full, labels, more, closest, put), "across-pairs")
+        labels = _joined(labels, _verified(passed.filter("a <> b"), docs, nodes, repeated, put), put)
+        closest, more = MORE * closest, passed.filter("a = b").select(F.col("a").alias("node"))
     placed = described.join(nodes.select("one", "two", "node"), ["one", "two"], "left").join(labels, "node", "left")
     placed = put(placed.select("doc_id", "text_hash", "size", F.coalesce("label", "node").alias("label")), "labelled")
     smallest = put(placed.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("smallest")), "smallest")

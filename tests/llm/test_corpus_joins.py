@@ -241,6 +241,28 @@ def test_large_tiles_pass_their_closest_pairs_first(make, monkeypatch):
     assert passed[0] <= 6 * len(rows)
 
 
+def test_near_copies_are_emitted_in_one_tile():
+    # The shared shingles that come first in hash order are very common, so shingles of their own come before
+    # the other shared ones.
+    random, copies = np.random.default_rng(8), []
+    shared = np.sort(random.integers(0, 1 << 63, 400, dtype=np.uint64))
+    for _ in range(30):
+        kept = random.permutation(400)[:350]
+        copies.append(np.sort(np.r_[shared[kept], random.integers(0, 1 << 63, 50, dtype=np.uint64)]))
+    prefixes = [jaccard_join.prefix(own, shared[:100]) for own in copies]
+    firsts = jaccard_join._firsts(np.arange(len(copies)), prefixes)
+    tiles, emitted = {}, []
+    for node, own in enumerate(prefixes):
+        for shingle in own.tolist():
+            tiles.setdefault(shingle, []).append(node)
+    for shingle, nodes in tiles.items():
+        one, two = (np.array(nodes)[rows] for rows in np.triu_indices(len(nodes), 1))
+        here = jaccard_join._meet_first(firsts, np.full(len(copies), shingle, np.uint64), one, two)
+        emitted += zip(one[here].tolist(), two[here].tolist())
+    pairs = {(one, two) for nodes in tiles.values() for one in nodes for two in nodes if one < two}
+    assert set(emitted) == pairs and len(emitted) <= 1.1 * len(pairs)
+
+
 def test_one_document_of_each_group_stays(make):
     base = " ".join(f"w{n}" for n in range(40))
     rows = [(4, base), (2, base), (9, base + " more"), (5, "something else entirely in five"), (6, None), (7, ""), (None, base)]
