@@ -12,7 +12,7 @@ cut into size bands, so only sizes within a ratio of 3 to 4 meet.
 2. In tiles that still hold several components, nodes of different ones are compared by bitmap
    signatures, as wide as their sets are large: a set flips the bit of each element, so differing bits of two signatures bound the
    difference of the sets from below and their overlap from above. Only pairs that pass are emitted. Of each
-   node's prefix the ``FIRST`` shingles with the smallest mixed hashes are known, wherever they stand in the
+   node's tiles the ``FIRST`` ones whose shingles have the smallest hashes are known, wherever they stand in the
    order, so near copies share some; a pair is emitted only in the tile of the smallest one shared. A row of a
    large tile passes its closest partners first; while some had more, this is repeated for them, with the
    components that these links give and many times as many partners, until every pair has passed or lies in
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.llm.columns import fresh, ship
@@ -49,7 +50,7 @@ MEMBERS = 200  # verified against one copy of a text
 BLOCK = 4096  # nodes of a tile compared with at once
 FEW = 64  # rows up to which tiles are compared together with others
 PAIRS = 100_000  # of such tiles, about, at a time
-FIRST = 16  # prefix shingles that tell in which tile two nodes meet first
+FIRST = 16  # tiles of a node that tell in which one it meets others first
 CLOSEST = 16  # partners of a row of a large tile that are passed on in the first turn
 MORE = 64  # times as many in each further turn
 
@@ -104,7 +105,7 @@ def prefix(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 def _text_batches(batches, place: int):
     for batch in batches:
-        for begin, end in slices(batch.column(place), 1 << 20):
+        for begin, end in slices(batch.column(place), 1 << 18):
             part = batch.slice(begin, end - begin)
             yield part, [text or b"" for text in part.column(place).cast(pa.binary()).to_pylist()]
 
@@ -144,41 +145,24 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, repeated: bool) -> DataFrame:
     return texts.dropDuplicates(["node"]) if repeated else texts
 
 
-def _firsts(nodes: np.ndarray, prefixes: list[np.ndarray]) -> np.ndarray:
-    """A row per node: the shingles of its prefix with the smallest mixed hashes, its own number in place of
-    missing ones."""
-    firsts = np.repeat(nodes.astype(np.uint64)[:, None], FIRST, axis=1)
-    for row, own in zip(firsts, prefixes):
-        own = own[np.argsort(mixed(own))[:FIRST]]
-        row[:len(own)] = own
-    return firsts
-
-
 def _prefixes(texts: DataFrame, common: np.ndarray) -> DataFrame:
-    """``node, size, shingles, firsts`` of each node's prefix: all its shingles, and those that tell where it
-    meets others first."""
+    """``shingle, size, node`` of each node's prefix."""
 
     def find(batches):
         for part, raw in _text_batches(batches, 1):
             sets = shingle_sets(raw)
             parts = [prefix(own, common) for own in sets]
-            firsts = _firsts(part.column(0).to_numpy(), parts)
-            ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-            flat = (np.concatenate(parts) if parts else np.zeros(0, np.uint64)).view(np.int64)
+            counts = np.array([len(own) for own in parts], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(0), pa.array([len(own) for own in sets], pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array([row.tobytes() for row in firsts], pa.binary()),
+                    pa.array((np.concatenate(parts) if parts else np.zeros(0, np.uint64)).view(np.int64)),
+                    pa.array(np.repeat(np.array([len(own) for own in sets], np.int32), counts)),
+                    part.column(0).take(pa.array(np.repeat(np.arange(len(sets)), counts))),
                 ],
-                ["node", "size", "shingles", "firsts"],
+                ["shingle", "size", "node"],
             )
 
-    return texts.select("node", "text").mapInArrow(find, "node bigint, size int, shingles array<bigint>, firsts binary")
-
-
-def _each_shingle(prefixes: DataFrame) -> DataFrame:
-    """``shingle, size, node`` of prefixes."""
-    return prefixes.select(F.explode("shingles").alias("shingle"), "size", "node")
+    return texts.select("node", "text").mapInArrow(find, "shingle bigint, size int, node bigint")
 
 
 def _common(prefixes: DataFrame, put: Put) -> np.ndarray:
@@ -279,6 +263,14 @@ def _passing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.filter(may("size_a", "size_b", "bits_a", "bits_b")).select("a", "b")
 
 
+def _firsts(tiles: DataFrame) -> DataFrame:
+    """``node, firsts``: the shingles of each node's tiles with the smallest hashes, its own number in place of
+    missing ones."""
+    own = F.sort_array(F.collect_list(F.struct(F.xxhash64("shingle").alias("hash"), "shingle")))
+    known = tiles.groupBy("node").agg(F.slice(own, 1, FIRST)["shingle"].alias("known"))
+    return known.select("node", F.slice(F.concat("known", F.array_repeat("node", FIRST)), 1, FIRST).alias("firsts"))
+
+
 def _meet_first(firsts: np.ndarray, shingles: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
     """Whether the tile is the one of the first shingle that is known to be in the prefixes of both rows.
 
@@ -378,7 +370,7 @@ def _compared(table: pa.Table, begins: np.ndarray, ends: np.ndarray, closest: in
     size, node, label = (table.column(name).to_numpy().astype(np.int64) for name in ("size", "node", "label"))
     had_more = table.column("had_more").to_numpy()
     bits, shingles = table.column("bits").to_pylist(), table.column("shingle").to_numpy().view(np.uint64)
-    firsts = np.frombuffer(b"".join(table.column("firsts").to_pylist()), np.uint64).reshape(-1, FIRST)
+    firsts = pc.list_flatten(table.column("firsts")).to_numpy().view(np.uint64).reshape(-1, FIRST)
     few = ends - begins <= FEW
     left, right = _compared_at_once(size, node, label, bits, firsts, shingles, begins[few], ends[few])
     for begin, end in zip(begins[~few].tolist(), ends[~few].tolist()):
@@ -501,9 +493,8 @@ def _labelled(docs: DataFrame, put: Put) -> DataFrame:
     nodes = _nodes(described, put)
     repeated = _repeated(described)
     texts = _texts_of(docs, nodes, repeated)
-    common = _common(_each_shingle(_prefixes(texts, np.zeros(0, np.uint64))), put)
-    prefixes = put(_prefixes(texts, common), "prefixes")
-    tiles = _tiles(_each_shingle(prefixes), put)
+    common = _common(_prefixes(texts, np.zeros(0, np.uint64)), put)
+    tiles = _tiles(_prefixes(texts, common), put)
     led = put(tiles.filter("node <> leader").select("node", "leader").distinct(), "led-nodes")
     # A node of a large group has many leaders; one is tried at a time, while it is still apart from
     # it, so that groups grow together from ever fewer parts. What then is left are mostly parts that do
@@ -518,7 +509,7 @@ def _labelled(docs: DataFrame, put: Put) -> DataFrame:
         apart = put(_apart(led, labels), "apart")
         if apart.isEmpty():
             break
-    full = put(nodes.select("node", "size", "bits").join(prefixes.select("node", "firsts"), "node"), "full-nodes")
+    full = put(nodes.select("node", "size", "bits").join(_firsts(tiles), "node"), "full-nodes")
     closest, more = CLOSEST, None
     while more is None or not more.isEmpty():
         passed = put(_across(tiles, full, labels, more, closest, put), "across-pairs")

@@ -241,7 +241,7 @@ def test_large_tiles_pass_their_closest_pairs_first(make, monkeypatch):
     assert passed[0] <= 6 * len(rows)
 
 
-def test_near_copies_are_emitted_in_one_tile():
+def test_near_copies_are_emitted_in_one_tile(spark):
     # The shared shingles that come first in hash order are very common, so shingles of their own come before
     # the other shared ones.
     random, copies = np.random.default_rng(8), []
@@ -250,11 +250,13 @@ def test_near_copies_are_emitted_in_one_tile():
         kept = random.permutation(400)[:350]
         copies.append(np.sort(np.r_[shared[kept], random.integers(0, 1 << 63, 50, dtype=np.uint64)]))
     prefixes = [jaccard_join.prefix(own, shared[:100]) for own in copies]
-    firsts = jaccard_join._firsts(np.arange(len(copies)), prefixes)
     tiles, emitted = {}, []
     for node, own in enumerate(prefixes):
         for shingle in own.tolist():
             tiles.setdefault(shingle, []).append(node)
+    rows = [(shingle, node) for shingle, nodes in tiles.items() for node in nodes if len(nodes) > 1]
+    known = jaccard_join._firsts(spark.createDataFrame(rows, "shingle bigint, node bigint")).orderBy("node").collect()
+    firsts = np.array([row["firsts"] for row in known], np.uint64)
     for shingle, nodes in tiles.items():
         one, two = (np.array(nodes)[rows] for rows in np.triu_indices(len(nodes), 1))
         here = jaccard_join._meet_first(firsts, np.full(len(copies), shingle, np.uint64), one, two)
